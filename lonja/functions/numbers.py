@@ -121,6 +121,7 @@ def _catalogue_money(found: Column) -> Column:
         result["value"].alias("value"),
         code.alias("code"),
         (degraded & result["value"].isNotNull()).alias("repaired"),
+        F.regexp_replace(found["text"]["plain"], r"^\+?0*(?=\d)", "").alias("plain"),
     )
 
 
