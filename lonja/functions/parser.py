@@ -7,6 +7,7 @@ in every branch of the next step.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,16 @@ def outcome(value: Column, code: Column | None = None) -> Column:
     return F.struct(value.alias("value"), code.cast("string").alias("code"))
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """Count the rows that pass here (an observed metric).
+
+    Filters are not pushed below an observation. That is wanted above long chains of derived columns:
+    pushed down, each filter would repeat the expressions of the whole chain once more, and the plan
+    would grow beyond all bounds.
+    """
+    return df.observe(f"rows_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def parse(df: DataFrame, fields: dict[str, tuple[Parser, Column]]) -> DataFrame:
     """Add one column per field: the result of its parser over its raw text column."""
     df = df.withColumns({name: raw for name, (_, raw) in fields.items()})
@@ -45,4 +56,4 @@ def parse(df: DataFrame, fields: dict[str, tuple[Parser, Column]]) -> DataFrame:
                 if position < len(parser.steps)
             }
         )
-    return df
+    return counted(df)

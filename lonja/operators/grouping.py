@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lonja.functions.parser import counted
+
 
 def attach_group(rows: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
     """Add the aggregates of each row's group to the row.
@@ -15,6 +17,7 @@ def attach_group(rows: DataFrame, keys: list[str], *aggregates: Column) -> DataF
     broadcasts the aggregate if it is small, and otherwise splits the partition of a hot key over many
     tasks.
     """
+    rows = counted(rows)
     spread = F.xxhash64(*keys)
     groups = rows.groupBy(*keys).agg(*aggregates).withColumn("_spread", spread)
     return rows.withColumn("_spread", spread).join(groups, [*keys, "_spread"], "left").drop("_spread")

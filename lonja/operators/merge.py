@@ -181,5 +181,5 @@ def merge_order_lines(
 def fingerprint(table: DataFrame, columns: list[str]) -> DataFrame:
     """Row count and an order-insensitive checksum of the given columns."""
     cells = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in columns]
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("decimal(20,0)")
     return table.agg(F.count("*").alias("n_rows"), F.sum(digest).alias("checksum"))

@@ -11,11 +11,14 @@ TEXT_FIELDS = ["sku", "warehouse", "updated_at"]
 FILE_SHIFT = 32
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page: ``data`` (array of record texts) and ``meta`` (text); numbers stay exact."""
+def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per page: ``data`` (array of record texts) and ``meta`` (text); numbers stay exact.
+
+    A page is a file of its own, or a line of one with ``multi_line=False``.
+    """
     return (
         spark.read.schema("data array<string>, meta string")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .json(path)
         .withColumn("meta", F.try_parse_json("meta"))
     )
