@@ -19,24 +19,17 @@ ZONED = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})(?:\.(\d{1,6})\d*)?(?:Z|([+-])(\
 
 
 def _calendar_day(text: Column) -> Column:
-    def piece(pattern: str, group: int, width: int) -> Column:
-        return F.lpad(F.trim(F.regexp_extract(text, pattern, group)), width, "0")
-
-    year_first = F.concat_ws(
-        "-", piece(YEAR_FIRST, 1, 4), piece(YEAR_FIRST, 3, 2), piece(YEAR_FIRST, 4, 2)
-    )
-    day_first = F.concat_ws(
-        "-", piece(DAY_FIRST, 4, 4), piece(DAY_FIRST, 3, 2), piece(DAY_FIRST, 1, 2)
-    )
-    day = (
-        F.when(text.rlike(YEAR_FIRST), year_first.try_cast("date"))
-        .when(text.rlike(DAY_FIRST), day_first.try_cast("date"))
+    """The day of a text in one of the layouts; each pattern runs once and marks what it rewrote."""
+    iso = F.regexp_replace(text, YEAR_FIRST, "=$1-$3-$4")
+    iso = F.regexp_replace(iso, DAY_FIRST, "=$4-$3-$1")
+    day = F.when(
+        iso.startswith("="), F.translate(F.substring(iso, 2, 11), " ", "").try_cast("date")
     )
     return F.when(F.year(day) >= 1, day)
 
 
 def _utc_wall_clock(text: Column) -> Column:
-    """UTC wall clock (timestamp without zone) of an ISO text with an explicit zone, else NULL."""
+    """UTC wall clock (timestamp without zone) of an ISO text with an explicit zone."""
     local = F.concat(
         F.regexp_extract(text, ZONED, 1),
         F.lit("."),
@@ -46,13 +39,15 @@ def _utc_wall_clock(text: Column) -> Column:
     minutes = F.coalesce(F.regexp_extract(text, ZONED, 5).try_cast("int"), F.lit(0))
     offset = F.make_dt_interval(hours=hours, mins=minutes)
     utc = F.when(F.regexp_extract(text, ZONED, 3) == "-", local + offset).otherwise(local - offset)
-    good = text.rlike(ZONED) & (hours < 24) & F.year(utc).between(1, 9999)
+    good = (hours < 24) & F.year(utc).between(1, 9999)
     return F.when(good, utc)
 
 
 def _wall_clocks(text: Column) -> Column:
     return F.struct(
-        text.alias("text"), text.rlike(ZONED).alias("zoned"), _utc_wall_clock(text).alias("utc")
+        text.alias("text"),
+        text.rlike(ZONED).alias("zoned"),
+        F.when(text.rlike(ZONED), _utc_wall_clock(text)).alias("utc"),
     )
 
 

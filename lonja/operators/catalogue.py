@@ -141,19 +141,24 @@ def parse_catalogue(scanned: DataFrame) -> DataFrame:
 
 
 Verdict = Callable[[DataFrame], DataFrame]
+Keep = Callable[[DataFrame], DataFrame]
 
 
-def select_first_valid(records: DataFrame, judge: Verdict) -> DataFrame:
+def select_first_valid(
+    records: DataFrame, judge: Verdict, keep: Keep = lambda rows: rows
+) -> DataFrame:
     """Keep, per SKU, the first row in file order that the judge accepts.
 
     ``judge`` gets the records and adds ``verdict``: NULL where the final price is good, else the issue
     that rejects the row. Every row is judged before any row is chosen. The result has all records with
-    ``outcome`` in accepted, deduplicated, rejected and the complete issue list.
+    ``outcome`` in accepted, deduplicated, rejected and the complete issue list. The judged rows are
+    read twice; ``keep`` may write them out in between.
     """
     judged = judge(records).withColumn(
         "_valid", F.col("candidate") & F.col("verdict").isNull()
     ).withColumn("_print", F.sha2(F.to_json("cells"), 256))
     order = F.when(F.col("_valid"), F.col("ord"))
+    judged = keep(judged)
     grouped = attach_group(
         judged.withColumn("_group", F.coalesce("sku", F.concat(F.lit("\x00"), "locator"))),
         ["_group"],

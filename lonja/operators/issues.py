@@ -50,6 +50,15 @@ def severity(source: Column, action: Column, code: Column) -> Column:
     )
 
 
+def _fixed_severity(source: str, action: str) -> str | None:
+    """The severity where source and action alone decide it."""
+    if action == FAIL or action == REJECT:
+        return "error"
+    if action in (DEDUPLICATE, NORMALIZE):
+        return "info"
+    return None if source == TARIFFS else "warning"
+
+
 def issue(
     source: str,
     code: str | Column,
@@ -61,10 +70,12 @@ def issue(
     if detail is None:
         detail = code_column
     detail_column = F.lit(detail) if isinstance(detail, str) else detail
+    fixed = _fixed_severity(source, action)
+    level = F.lit(fixed) if fixed else severity(F.lit(source), F.lit(action), code_column)
     return F.struct(
         code_column.alias("code"),
         F.lit(action).alias("action"),
-        severity(F.lit(source), F.lit(action), code_column).alias("severity"),
+        level.alias("severity"),
         F.lit(field).cast("string").alias("field"),
         detail_column.alias("detail"),
     )

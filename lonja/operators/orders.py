@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -258,9 +260,17 @@ def deduplicate_lines(rows: DataFrame) -> DataFrame:
     ).drop("_line", "_kept")
 
 
-def select_orders(scanned: DataFrame, zone: str = BUSINESS_ZONE) -> DataFrame:
-    """From raw cells to every source row with its outcome, settled header, line values and issues."""
-    return deduplicate_lines(validate_lines(resolve_headers(parse_order_rows(scanned, zone))))
+def select_orders(
+    scanned: DataFrame,
+    zone: str = BUSINESS_ZONE,
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """From raw cells to every source row with its outcome, settled header, line values and issues.
+
+    Parsed and validated rows are each read twice by the next step; ``keep`` may write them out.
+    """
+    parsed = keep(parse_order_rows(scanned, zone))
+    return deduplicate_lines(keep(validate_lines(resolve_headers(parsed))))
 
 
 def order_headers(selected: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ stop the run, counters and digests.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -71,6 +72,11 @@ class Load:
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.stage(name, rows, self.run_id)
 
+    def keeper(self, name: str):
+        """Stages the frames an operator asks to keep, one after the other."""
+        step = itertools.count(1)
+        return lambda rows: self.stage(f"{name}_step{next(step)}", rows)
+
     def scan(self, name: str, rows: DataFrame) -> DataFrame:
         scanned = self.stage(f"{name}_scan", rows)
         _stop_on(tables.structural_problems(scanned), name)
@@ -113,7 +119,8 @@ class Load:
             tariffs.rule_dimension(rules, "categoria"),
             tariffs.rule_dimension(rules, "marca"),
         )
-        records = self.stage("catalogue_records", catalogue.select_first_valid(parsed, judge))
+        chosen = catalogue.select_first_valid(parsed, judge, self.keeper("catalogue"))
+        records = self.stage("catalogue_records", chosen)
         terms = tariffs.unapplied_terms(
             tariff_files.scan_conditions(self.spark, self.sources.tariffs),
             tariff_files.volume_terms(rules),
@@ -139,7 +146,8 @@ class Load:
 
     def load_orders(self) -> DataFrame:
         scanned = self.scan(ORDERS, tables.scan_orders(self.spark, self.sources.orders))
-        records = self.stage("order_records", orders.select_orders(scanned, self.zone))
+        selected = orders.select_orders(scanned, self.zone, self.keeper("orders"))
+        records = self.stage("order_records", selected)
         self.ledgers.append(explode_issues(records, order_excerpt(F.col("cells"))))
         return records
 

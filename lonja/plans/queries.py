@@ -34,7 +34,7 @@ from lonja.operators.issues import (
 )
 from lonja.plans import samples
 from lonja.plans.samples import AS_OF, PAGE, START, table
-from lonja.session import checkpointed, tune, work_folder
+from lonja.session import materialized, spread, tune, work_folder
 from lonja.sources import files, stock_pages, tables
 from lonja.sources import tariffs as tariff_files
 from lonja.sources.snapshots import SCHEMAS, SnapshotStore, latest_states
@@ -62,7 +62,7 @@ def portable(df: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif kind == "date":
             column = column.cast("string")
-        elif kind == "timestamp":
+        elif kind.startswith("timestamp"):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         columns.append(column.alias(name))
     return df.select(*columns)
@@ -233,7 +233,7 @@ def source_fingerprint(spark, folder):
 
 @query
 def empty_source_guard(spark, folder):
-    candidates = catalogue.parse_catalogue(samples.catalogue_rows(spark, folder)).where("candidate")
+    candidates = materialized(_parsed_catalogue(spark, folder)).where("candidate")
     none = candidates.where(F.col("pvp") > 10**9)
     return (
         tables.empty_source(candidates, "EMPTY_CATALOG")
@@ -251,7 +251,7 @@ def _cleaned(rows: DataFrame, key: str, column: str, parser: Parser) -> DataFram
 
 
 def _document_digest(spark, folder, parser: Parser) -> DataFrame:
-    rows = parse(table(spark, folder, "documents"), {"t": (parser, F.col("text"))})
+    rows = parse(spread(table(spark, folder, "documents")), {"t": (parser, F.col("text"))})
     return rows.select("doc_id", F.md5("t").alias("digest"), F.length("t").alias("n_chars"))
 
 
@@ -409,7 +409,8 @@ def drop_bad_optional_fields(spark, folder):
 
 
 def _header_rows(spark, folder) -> DataFrame:
-    return orders.resolve_headers(orders.parse_order_rows(samples.order_rows(spark, folder)))
+    parsed = materialized(orders.parse_order_rows(samples.order_rows(spark, folder)))
+    return orders.resolve_headers(parsed)
 
 
 def _line_rows(spark, folder) -> DataFrame:
@@ -417,7 +418,7 @@ def _line_rows(spark, folder) -> DataFrame:
 
 
 def _selected_orders(spark, folder) -> DataFrame:
-    return orders.select_orders(samples.order_rows(spark, folder))
+    return orders.select_orders(samples.order_rows(spark, folder), keep=materialized)
 
 
 @query
@@ -437,7 +438,7 @@ def _checked_stock(spark, folder) -> DataFrame:
 
 
 def _reconciled_stock(spark, folder) -> DataFrame:
-    return stock.reconcile_versions(_checked_stock(spark, folder))
+    return stock.reconcile_versions(materialized(_checked_stock(spark, folder)))
 
 
 @query
@@ -456,12 +457,12 @@ def _selected_catalogue(spark, folder) -> DataFrame:
     judge = pricing.price_judge(
         samples.price_exceptions(spark, folder), samples.category_rules(spark, folder), samples.brand_rules(spark, folder)
     )
-    return catalogue.select_first_valid(_parsed_catalogue(spark, folder), judge)
+    return catalogue.select_first_valid(_parsed_catalogue(spark, folder), judge, materialized)
 
 
 def _ledger(spark, folder) -> DataFrame:
     """Issues of all three record sources with the issues that belong to no row."""
-    reconciled = checkpointed(_reconciled_stock(spark, folder))
+    reconciled = materialized(_reconciled_stock(spark, folder))
     totals = stock.stock_totals(reconciled, _stock_catalogue(spark, folder))
     nothing = F.lit(None).cast("string")
     return reduce(
@@ -602,7 +603,7 @@ def pluggable_row_verdict(spark, folder):
         entry = issue(CATALOGUE, "COST_EXCEEDS_PVP", REJECT)
         return records.withColumn("verdict", F.when(red, entry))
 
-    rows = catalogue.select_first_valid(_parsed_catalogue(spark, folder), no_red)
+    rows = catalogue.select_first_valid(_parsed_catalogue(spark, folder), no_red, materialized)
     return rows.select("ord", "outcome")
 
 
@@ -673,7 +674,7 @@ def stock_exact_dedup(spark, folder):
 
 @query
 def stock_conflicts(spark, folder):
-    rows = checkpointed(_reconciled_stock(spark, folder))
+    rows = materialized(_reconciled_stock(spark, folder))
     found = rows.unionByName(stock.conflict_warnings(rows), allowMissingColumns=True)
     return _issue_rows(found, "locator", "entity").where("code = 'CONFLICTING_STOCK'")
 
@@ -697,7 +698,7 @@ def stock_overflow(spark, folder):
     huge = F.when(F.col("ord") % 4 == 0, str(2**62)).otherwise(str(2**63 - 1))
     rows = samples.stock_rows(spark, folder).withColumn("quantity", huge)
     catalogue_ = _stock_catalogue(spark, folder)
-    reconciled = stock.reconcile_versions(stock.validate_observations(rows, catalogue_))
+    reconciled = stock.reconcile_versions(materialized(stock.validate_observations(rows, catalogue_)))
     totals = stock.stock_totals(reconciled, catalogue_)
     overflow = F.exists("issues", lambda i: i["code"] == "NUMERIC_OUT_OF_RANGE")
     return totals.select("sku", "stock_total", "stock_status", overflow.alias("overflow"))
@@ -706,10 +707,10 @@ def stock_overflow(spark, folder):
 # --- merges and publishing -------------------------------------------------------------------------
 
 
-def _typed(rows: DataFrame, name: str, **columns: Column) -> DataFrame:
+def _typed(rows: DataFrame, schema: str, **columns: Column) -> DataFrame:
     """Rows with the schema of a published table; columns not given are NULL."""
     selected = []
-    for field in SCHEMAS[name].split(", "):
+    for field in SCHEMAS[schema].split(", "):
         column, kind = field.split(" ")
         selected.append(columns.get(column, F.lit(None)).cast(kind).alias(column))
     return rows.select(*selected)
@@ -934,7 +935,7 @@ def sku_contribution_review(spark, folder):
 @query
 def independent_recalculation(spark, folder):
     # Five metrics and the rebuilt totals read the same lines.
-    lines = checkpointed(_eligible(spark, folder))
+    lines = materialized(_eligible(spark, folder))
     return metrics.independent_recalculation(lines, START, AS_OF)
 
 
@@ -980,7 +981,7 @@ def _catalog_counters(spark, folder) -> DataFrame:
 
 
 def _order_counters(spark, folder) -> DataFrame:
-    selected = checkpointed(_selected_orders(spark, folder))
+    selected = materialized(_selected_orders(spark, folder))
     lines = orders.order_lines(selected)
     seen = table(spark, folder, "part").select(F.concat(F.lit("PRV-"), "p_partkey").alias("sku"))
     _, created = merge.create_historical_products(_previous_products(spark, folder), lines, seen, "run-2")
@@ -988,7 +989,7 @@ def _order_counters(spark, folder) -> DataFrame:
 
 
 def _stock_counters(spark, folder) -> DataFrame:
-    rows = checkpointed(_reconciled_stock(spark, folder))
+    rows = materialized(_reconciled_stock(spark, folder))
     totals = stock.stock_totals(rows, _stock_catalogue(spark, folder))
     return reporting.stock_counters(rows, totals, stock.conflict_warnings(rows))
 
@@ -1027,7 +1028,7 @@ def rejections_by_reason(spark, folder):
 
 @query
 def missing_order_reasons(spark, folder):
-    selected = checkpointed(_selected_orders(spark, folder))
+    selected = materialized(_selected_orders(spark, folder))
     rows = reporting.missing_order_reasons(selected, orders.order_headers(selected))
     return rows.withColumn("reasons", F.array_join("reasons", " "))
 
@@ -1035,8 +1036,8 @@ def missing_order_reasons(spark, folder):
 @query
 def run_summary(spark, folder):
     # Reasons and totals come from one ledger; metrics from one set of lines.
-    ledger = checkpointed(_ledger(spark, folder))
-    lines = checkpointed(_eligible(spark, folder))
+    ledger = materialized(_ledger(spark, folder))
+    lines = materialized(_eligible(spark, folder))
     products = samples.products(spark, folder)
     counters = {
         CATALOGUE: _catalog_counters(spark, folder), STOCK: _stock_counters(spark, folder), ORDERS: _order_counters(spark, folder),
@@ -1199,7 +1200,7 @@ def stock_total_check(spark, folder):
 @query
 def ledger_counter_check(spark, folder):
     """Counters of the order source against its ledger and tables."""
-    selected = checkpointed(_selected_orders(spark, folder))
+    selected = materialized(_selected_orders(spark, folder))
     headers, lines = orders.order_headers(selected), orders.order_lines(selected)
     ledger = explode_issues(selected, F.lit(None).cast("string"))
     counted = reporting.record_counters(selected).withColumns(

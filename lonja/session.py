@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +13,8 @@ RUNTIME = {
     # Hot keys: let AQE split a skewed join partition even where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot does not compile methods above this size; Spark then uses smaller generated functions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -48,9 +50,18 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/lonja/{purpose}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Reliable checkpoint in the shared folder; cuts the lineage of a costly shared input."""
+def materialized(df: DataFrame, purpose: str = "stage") -> DataFrame:
+    """Write rows that several later steps read to the shared folder, and continue from the files.
+
+    Cuts the lineage, survives lost executors, and gives later joins the true size of their input.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_folder(spark, "checkpoint"))
-    return df.checkpoint()
+    path = work_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a small source has fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
