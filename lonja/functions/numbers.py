@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lonja.functions.parser import Parser, outcome
-from lonja.functions.text import BLANK_CLASS, NON_ASCII, present, strip, unless_missing
+from lonja.functions.text import BLANK_CLASS, beyond_ascii, present, strip, unless_missing
 from lonja.vocabulary import MAX_LONG
 
 MONEY = "decimal(18,4)"
@@ -33,7 +33,7 @@ _DIGITS = [
 def ascii_digits(text: Column) -> Column:
     source = "".join(d[0] for d in _DIGITS)
     target = "".join(d[1] for d in _DIGITS)
-    return F.when(text.rlike(NON_ASCII), F.translate(text, source, target)).otherwise(text)
+    return F.when(beyond_ascii(text), F.translate(text, source, target)).otherwise(text)
 
 
 def _point(text: Column) -> Column:
@@ -54,10 +54,20 @@ def _decimal(text: Column) -> Column:
     return _refused(value, text, "INVALID_DECIMAL")
 
 
-def strip_currency(text: Column) -> Column:
-    """Drop one leading and one trailing euro mark, in any case, with the blanks around it."""
-    head = F.regexp_replace(text, r"^(?:€|[eE][uU][rR])" + BLANK_CLASS + "*", "")
-    return F.regexp_replace(head, BLANK_CLASS + r"*(?:€|[eE][uU][rR])\z", "")
+def _leading_euro(text: Column) -> Column:
+    marked = text.startswith("€") | (F.lower(F.left(text, F.lit(3))) == "eur")
+    cut = F.regexp_replace(text, r"^(?:€|[eE][uU][rR])" + BLANK_CLASS + "*", "")
+    return F.when(marked, cut).otherwise(text)
+
+
+def _trailing_euro(text: Column) -> Column:
+    marked = text.endswith("€") | (F.lower(F.right(text, F.lit(3))) == "eur")
+    cut = F.regexp_replace(text, BLANK_CLASS + r"*(?:€|[eE][uU][rR])\z", "")
+    return F.when(marked, cut).otherwise(text)
+
+
+# One leading and one trailing euro mark, in any case, are dropped with the blanks around them.
+strip_currency = Parser(_leading_euro, _trailing_euro)
 
 
 def _plain_spaces(text: Column) -> Column:
@@ -126,7 +136,8 @@ def _catalogue_money(found: Column) -> Column:
 
 
 def _ratio_parts(text: Column) -> Column:
-    body = F.regexp_replace(text, BLANK_CLASS + r"*%\z", "")
+    cut = strip(F.left(text, F.char_length(text) - 1))
+    body = F.when(text.endswith("%"), cut).otherwise(text)
     return F.struct(
         text.alias("text"),
         body.alias("body"),
@@ -187,7 +198,7 @@ catalogue_money = Parser(
     *[
         _on_text(step)
         for step in (
-            unless_missing, strip_currency, _plain_spaces, ascii_digits, _join_groups, _money_plain
+            unless_missing, *strip_currency.steps, _plain_spaces, ascii_digits, _join_groups, _money_plain
         )
     ],
     _catalogue_money,

@@ -22,7 +22,12 @@ BLANKS = (
 BLANK_CLASS = (
     r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
-NON_ASCII = r"[^\x00-\x7f]"
+ASCII_BLANK_CLASS = r"[\t-\r\x1c-\x20]"
+
+
+def beyond_ascii(text: Column) -> Column:
+    """Whether a text holds any non-ASCII character: it then has more bytes than characters."""
+    return F.octet_length(text) > F.char_length(text)
 
 
 def strip(text: Column) -> Column:
@@ -36,16 +41,19 @@ def unless_missing(text: Column) -> Column:
 
 def compose(text: Column) -> Column:
     call = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
-    return F.when(text.rlike(NON_ASCII), call).otherwise(text)
+    return F.when(beyond_ascii(text), call).otherwise(text)
 
 
 def fold_case(text: Column) -> Column:
     call = F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), text, F.lit(True))
-    return F.when(text.rlike(NON_ASCII), call).otherwise(F.lower(text))
+    return F.when(beyond_ascii(text), call).otherwise(F.lower(text))
 
 
 def single_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, BLANK_CLASS + "+", " ")
+    """Each run of blanks as one space; ASCII text gets by with a class that matches much faster."""
+    return F.when(
+        beyond_ascii(text), F.regexp_replace(text, BLANK_CLASS + "+", " ")
+    ).otherwise(F.regexp_replace(text, ASCII_BLANK_CLASS + "+", " "))
 
 
 def _required(text: Column) -> Column:
@@ -88,7 +96,7 @@ def _ean_digits(text: Column) -> Column:
     bare = F.when(quoted, F.substring(text, F.lit(2), size - 2)).otherwise(
         F.regexp_replace(text, "^'", "")
     )
-    return F.regexp_replace(bare, BLANK_CLASS, "")
+    return F.translate(bare, BLANKS, "")
 
 
 def _ean(digits: Column) -> Column:
