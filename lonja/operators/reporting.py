@@ -114,6 +114,10 @@ def chart_series(monthly: DataFrame) -> DataFrame:
     ).orderBy("month")
 
 
+# A summary embeds the low-stock list up to this length; the complete list is a table of its own.
+EMBEDDED_PRODUCTS = 10_000
+
+
 def run_summary(
     run: dict,
     counters: dict[str, DataFrame],
@@ -126,8 +130,8 @@ def run_summary(
 ) -> DataFrame:
     """One nested row that describes a completed run, frozen with it.
 
-    The reasons and the low-stock list are report rows: at most one per reason code and source, and one
-    per product that the report names.
+    The reasons are at most one per code and source. The low-stock list is embedded while it is short;
+    a longer one is only counted here (NULL list) and read from the published ``low_stock`` table.
     """
     spark = ledger.sparkSession
     previous = metrics.months_before(as_of.replace(day=1), 1)
@@ -137,7 +141,9 @@ def run_summary(
     low = metrics.low_stock_products(eligible, products, as_of).select(
         F.struct("stock_total", (-F.col("recent_units")).alias("order"), "sku", "name", "recent_units").alias("p")
     )
-    listed = low.agg(F.array_sort(F.collect_list("p")).alias("x"))
+    low_count = low.agg(F.count("*").cast("int")).scalar()
+    short = low_count <= EMBEDDED_PRODUCTS
+    listed = low.where(short).agg(F.array_sort(F.collect_list("p")).alias("x"))
     revenue = metrics.previous_month_sales(eligible, as_of).select(F.col("revenue").cast("string"))
     row = spark.range(1).select(
         F.lit(SUMMARY_VERSION).alias("schema_version"),
@@ -155,7 +161,8 @@ def run_summary(
         F.lit(previous.strftime("%Y-%m")).alias("previous_month"),
         F.lit(None).cast("string").alias("currency"),
         F.lit("unconfirmed").alias("tax_basis"),
-        listed.scalar().alias("_low"),
+        F.when(short, listed.scalar()).alias("_low"),
+        low_count.alias("low_stock_count"),
         F.lit(threshold).alias("rejection_threshold"),
     )
     rejected = F.lit(0).cast("bigint")
@@ -165,7 +172,6 @@ def run_summary(
         {
             "products_loaded": F.col("rows.catalog_csv.products_loaded"),
             "rows_rejected": rejected,
-            "low_stock_count": F.size("_low"),
             "low_stock_products": F.transform(
                 "_low", lambda p: F.struct(p["sku"], p["name"], p["stock_total"], p["recent_units"])
             ),

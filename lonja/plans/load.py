@@ -252,6 +252,7 @@ class Load:
         eligible = metrics.eligible_lines(
             published, published_lines, products, date.fromisoformat(SALES_START), as_of
         )
+        store.write("low_stock", metrics.low_stock_products(eligible, products, as_of), run_id)
         summary = reporting.run_summary(
             run, counters, ledger, eligible, products, as_of, threshold, self.zone
         )

@@ -34,6 +34,7 @@ SCHEMAS = {
         "product_id bigint, warehouse_code string, quantity bigint, reserved bigint, "
         "updated_at timestamp, last_run_id string"
     ),
+    "low_stock": "sku string, name string, stock_total bigint, recent_units bigint",
     "ledger": (
         "source string, record_locator string, entity_key string, reason_code string, "
         "field_name string, action string, severity string, detail string, raw_excerpt string, "
