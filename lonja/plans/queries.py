@@ -460,16 +460,31 @@ def _selected_catalogue(spark, folder) -> DataFrame:
     return catalogue.select_first_valid(_parsed_catalogue(spark, folder), judge, materialized)
 
 
-def _ledger(spark, folder) -> DataFrame:
+def _records(spark, folder) -> dict[str, DataFrame]:
+    """The settled rows of the three record sources, each computed once."""
+    return {
+        CATALOGUE: materialized(_selected_catalogue(spark, folder)),
+        ORDERS: materialized(_selected_orders(spark, folder)),
+        STOCK: materialized(_reconciled_stock(spark, folder)),
+    }
+
+
+def _ledger(spark, folder, records: dict[str, DataFrame] | None = None) -> DataFrame:
     """Issues of all three record sources with the issues that belong to no row."""
-    reconciled = materialized(_reconciled_stock(spark, folder))
+    if records is None:
+        records = {
+            CATALOGUE: _selected_catalogue(spark, folder),
+            ORDERS: _selected_orders(spark, folder),
+            STOCK: materialized(_reconciled_stock(spark, folder)),
+        }
+    reconciled = records[STOCK]
     totals = stock.stock_totals(reconciled, _stock_catalogue(spark, folder))
     nothing = F.lit(None).cast("string")
     return reduce(
         DataFrame.unionByName,
         [
-            explode_issues(_selected_catalogue(spark, folder), cells_excerpt(F.col("cells"))),
-            explode_issues(_selected_orders(spark, folder), order_excerpt(F.col("cells"))),
+            explode_issues(records[CATALOGUE], cells_excerpt(F.col("cells"))),
+            explode_issues(records[ORDERS], order_excerpt(F.col("cells"))),
             explode_issues(reconciled, F.col("excerpt")),
             explode_issues(totals, nothing),
             explode_issues(stock.conflict_warnings(reconciled), nothing),
@@ -976,37 +991,35 @@ def conflicting_skus(spark, folder):
     return browse.conflicting_skus(ledger, samples.products(spark, folder))
 
 
-def _catalog_counters(spark, folder) -> DataFrame:
-    return reporting.catalog_counters(_selected_catalogue(spark, folder), _kept_exceptions(spark, folder))
+def _catalog_counters(spark, folder, selected: DataFrame) -> DataFrame:
+    return reporting.catalog_counters(selected, _kept_exceptions(spark, folder))
 
 
-def _order_counters(spark, folder) -> DataFrame:
-    selected = materialized(_selected_orders(spark, folder))
+def _order_counters(spark, folder, selected: DataFrame) -> DataFrame:
     lines = orders.order_lines(selected)
     seen = table(spark, folder, "part").select(F.concat(F.lit("PRV-"), "p_partkey").alias("sku"))
     _, created = merge.create_historical_products(_previous_products(spark, folder), lines, seen, "run-2")
     return reporting.orders_counters(selected, orders.order_headers(selected), created)
 
 
-def _stock_counters(spark, folder) -> DataFrame:
-    rows = materialized(_reconciled_stock(spark, folder))
+def _stock_counters(spark, folder, rows: DataFrame) -> DataFrame:
     totals = stock.stock_totals(rows, _stock_catalogue(spark, folder))
     return reporting.stock_counters(rows, totals, stock.conflict_warnings(rows))
 
 
 @query
 def catalog_counters(spark, folder):
-    return _catalog_counters(spark, folder)
+    return _catalog_counters(spark, folder, _selected_catalogue(spark, folder))
 
 
 @query
 def orders_counters(spark, folder):
-    return _order_counters(spark, folder)
+    return _order_counters(spark, folder, materialized(_selected_orders(spark, folder)))
 
 
 @query
 def stock_counters(spark, folder):
-    return _stock_counters(spark, folder)
+    return _stock_counters(spark, folder, materialized(_reconciled_stock(spark, folder)))
 
 
 @query
@@ -1035,12 +1048,15 @@ def missing_order_reasons(spark, folder):
 
 @query
 def run_summary(spark, folder):
-    # Reasons and totals come from one ledger; metrics from one set of lines.
-    ledger = materialized(_ledger(spark, folder))
+    # Reasons and counters come from the same rows; metrics from one set of lines.
+    records = _records(spark, folder)
+    ledger = _ledger(spark, folder, records)
     lines = materialized(_eligible(spark, folder))
     products = samples.products(spark, folder)
     counters = {
-        CATALOGUE: _catalog_counters(spark, folder), STOCK: _stock_counters(spark, folder), ORDERS: _order_counters(spark, folder),
+        CATALOGUE: _catalog_counters(spark, folder, records[CATALOGUE]),
+        STOCK: _stock_counters(spark, folder, records[STOCK]),
+        ORDERS: _order_counters(spark, folder, records[ORDERS]),
     }
     run = {"run_id": "run-2", "finished_at": "2024-01-01T00:00:00.000000Z", "rules_version": RULES_VERSION}
     row = reporting.run_summary(run, counters, ledger, lines, products, AS_OF, 100)
