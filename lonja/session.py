@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +41,23 @@ def build_session(name: str = "lonja", cores: str = "*", partitions: int = 8) ->
     return tune(spark)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lonja-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+    """A new folder below the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only where ``spark.checkpoint.dir`` is unset (a test on one machine) a temporary folder is taken.
+    A local master may go without that setting (tests on one machine): a temporary folder is set then. On a
+    cluster a missing setting is an error, since executors and driver do not see each other's disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="lonja-")
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by driver and executors (master {master})")
+        base = _local_folder()
     return f"{base.rstrip('/')}/lonja/{purpose}-{uuid.uuid4().hex}"
 
 
