@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lonja.llm.curriculum import mixture
 from lonja.llm.exact_dedup import exact_duplicates
+from lonja.llm.near_join import near_duplicates
 from lonja.llm.rows import table
 
 
@@ -13,12 +14,17 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 LLM_QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op8_mix_sources": op8_mix_sources,
 }
 
