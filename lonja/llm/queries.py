@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lonja.llm.curriculum import mixture
 from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
+from lonja.llm import quality
 from lonja.llm.rows import table
 
 
@@ -22,10 +24,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 LLM_QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op8_mix_sources": op8_mix_sources,
+    "op9_quality": op9_quality,
 }
 
 LLM_ORACLE = {

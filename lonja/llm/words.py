@@ -5,6 +5,7 @@ A word is a maximal run of ASCII letters and digits and of non-ASCII characters
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -30,6 +31,24 @@ def stream(seed: int, n: int) -> np.ndarray:
         return mix((np.arange(1, n + 1, dtype=U64) + U64(seed << 32)) * _GOLDEN)
 
 
+@dataclass
+class Shapes:
+    """Words of mixed case and the other visible ASCII characters (marks) of many texts.
+
+    ``case`` of a word: 0 without capitals, 1 with a capital first letter only, 2 in capitals, 3 other. Hashes
+    do not depend on ASCII case.
+    """
+
+    data: np.ndarray
+    texts: int
+    starts: np.ndarray
+    hashes: np.ndarray
+    rows: np.ndarray
+    case: np.ndarray
+    marks: np.ndarray
+    mark_rows: np.ndarray
+
+
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     letters = np.zeros(256, bool)
@@ -76,6 +95,38 @@ class Hasher:
         return hashes, np.searchsorted(starts, offsets)
 
 
+    def shapes(self, data: np.ndarray, offsets: np.ndarray) -> Shapes:
+        """The same for texts of mixed case, with the case of each word and all other visible characters."""
+        small = data | (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
+        hashes, at = self.words(small, offsets)
+        letters, _ = _tables()
+        texts = len(offsets) - 1
+        rows = np.repeat(np.arange(texts), np.diff(at))
+        if not len(data):
+            none = np.zeros(0, np.int64)
+            return Shapes(data, texts, none, hashes, rows, none, none, none)
+        inside = letters[small]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        touch = offsets[1:-1]
+        touch = touch[(touch > 0) & (touch < len(data))]
+        first[touch] |= inside[touch]
+        starts = np.flatnonzero(first)
+        # Latin capitals beyond ASCII are C3 80 to C3 9E.
+        capital = data != small
+        capital[:-1] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
+        # Continuation bytes are not letters of their own.
+        letter = inside & ((data & 0xC0) != 0x80) & ~((data >= 48) & (data <= 57))
+        upper = np.add.reduceat(capital.astype(np.int32), starts) if len(starts) else np.zeros(0, np.int32)
+        every = np.add.reduceat(letter.astype(np.int32), starts) if len(starts) else np.zeros(0, np.int32)
+        case = np.full(len(starts), 3)
+        case[upper == 0] = 0
+        case[(upper == 1) & capital[starts]] = 1
+        case[(upper > 1) & (upper == every)] = 2
+        marks = np.flatnonzero((data > 32) & (data < 127) & ~inside)
+        return Shapes(data, texts, starts, hashes, rows, case, marks, np.searchsorted(offsets, marks, side="right") - 1)
+
+
 def lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column)
 
