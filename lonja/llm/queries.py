@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lonja.llm.curriculum import mixture
 from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
-from lonja.llm import quality
+from lonja.llm import packing, quality
 from lonja.llm.rows import table
 
 
@@ -31,11 +31,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 LLM_ORACLE = {

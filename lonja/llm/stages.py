@@ -1,15 +1,23 @@
-"""The stages of the corpus pipeline: ``(spark, docs, sf_dir)`` to a DataFrame."""
+"""The stages of the corpus pipeline: ``(spark, docs, sf_dir)`` to a DataFrame.
+
+Each stage decides over all documents of its predecessor. All but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lonja.llm import curriculum, exact_dedup, near_join, packing, quality
+from lonja.llm.rows import table
 
-from lonja.llm import curriculum, exact_dedup
+SCORE = "_quality_score"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier trained on ``labels`` does not reject."""
-    raise NotImplementedError
+    """Documents that the classifier trained on ``labels`` does not reject (score of 0.5 or more)."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, output=SCORE).where(F.col(SCORE) >= 0.5).drop(SCORE)
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +26,8 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Of the documents connected by near-duplicate links, the one with the smallest id."""
+    return near_join.drop_near_duplicates(docs)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,4 +36,5 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The pieces of all documents with their places in training sequences."""
+    return packing.pack(docs)
