@@ -10,12 +10,17 @@ from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
 from lonja.llm import packing, quality
 from lonja.llm.rows import table
+from lonja.llm.token_files import round_trip
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_files": op3_token_files,
     "op4_ngram_join": op4_ngram_join,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
