@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lonja.llm.curriculum import mixture
 from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
-from lonja.llm import packing, quality
+from lonja.llm import language, packing, quality
 from lonja.llm.rows import table
 from lonja.llm.token_files import round_trip
 
@@ -25,6 +25,14 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    dictionaries = language.train(docs.where(~language.held_out()))
+    return language.identify(docs.select("doc_id", "text"), dictionaries).select(
+        "doc_id", language.held_out().alias("held_out"), F.col("lang_best").alias("lang_pred"),
+        F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,6 +52,7 @@ LLM_QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
     "op4_ngram_join": op4_ngram_join,
+    "op5_language": op5_language,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
