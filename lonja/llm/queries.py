@@ -11,6 +11,7 @@ from lonja.llm.near_join import near_duplicates
 from lonja.llm import language, packing, quality
 from lonja.llm.rows import table
 from lonja.llm.token_files import round_trip
+from lonja.llm.topk import top_inner_products
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,6 +58,7 @@ LLM_QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_ngram_join": op4_ngram_join,
     "op5_language": op5_language,
+    "op7_top_k": op7_top_k,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -68,6 +74,17 @@ LLM_ORACLE = {
                doc_id IS NOT DISTINCT FROM keep_id
                  AND row_number() OVER (PARTITION BY text_sha256, doc_id) = 1 AS kept, text_sha256
         FROM plain JOIN groups USING (text_sha256)""",
+    "op7_top_k": """
+        WITH vectors AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        scores AS (
+          SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v)::BIGINT AS score
+          FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+        ranked AS (
+          SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scores)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op8_mix_sources": r"""
         WITH sizes AS (
           SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS key,
