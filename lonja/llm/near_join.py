@@ -4,9 +4,11 @@
    threshold and the wanted recall. Texts with the same words are one class from here on.
 2. Classes meet on equal band hashes. In each bucket every member is paired with one leader (the smallest
    class number), so a bucket of n classes gives n - 1 pairs, and each pair is verified on the full n-gram sets.
+   Before that, pairs go whose set sizes rule the similarity out, or whose sketches (one bit of each of 256
+   MinHash values) differ in more bits than six standard deviations above those of a pair at the threshold.
 3. Buckets whose members all ended in one verified component are settled. In the others, members of
-   different components are paired as well; a bucket that is too large for that is first split by each
-   further band, in which similar texts meet again with the same recall.
+   different components are paired as well if sizes and sketches allow; a bucket that is too large for that is
+   first split by each further band, in which similar texts meet again with nearly the same recall.
 4. Within a component every pair of classes is compared exactly, block by block, to count links.
 """
 
@@ -27,10 +29,13 @@ from lonja.session import materialized
 
 WORDS = 5
 THRESHOLD = 0.8
-RECALL = 0.99999
-MOST_HASHES = 240
-#: Members of different components in a bucket up to this size are paired directly; larger ones are split.
-PAIRED = 64
+RECALL = 0.999
+MOST_HASHES = 304
+SKETCH = 256
+#: Members of different components in a bucket up to this size are compared directly; larger ones are split.
+PAIRED = 4096
+#: Most rounds of splitting.
+DEPTH = 3
 #: Classes in one block of the exact comparison within a component.
 BLOCK = 512
 
@@ -46,14 +51,20 @@ def banding(threshold: float, recall: float, most_hashes: int) -> tuple[int, int
     return best
 
 
+def sketch_distance(threshold: float) -> int:
+    """Most differing bits that a pair at the threshold shows, with six standard deviations to spare."""
+    differ = (1 - threshold) / 2
+    return math.ceil(SKETCH * differ + 6 * math.sqrt(SKETCH * differ * (1 - differ)))
+
+
 def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """``did, tag, doc_id, cls, grams, bands``: class digest, number of n-grams and band hashes of each text."""
+    """``doc_id, did, tag, cls, grams, bands, sketch``: class digest, number of n-grams and hashes of each text."""
     multiply = (stream(2, bands * rows) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     add = (stream(3, bands * rows) >> np.uint64(32)).astype(np.uint32)
     fold = stream(4, rows)
     schema = pa.schema([
         ("doc_id", pa.int64()), ("did", pa.int64()), ("tag", pa.int32()), ("cls", pa.binary()), ("grams", pa.int64()),
-        ("bands", pa.list_(pa.int64())),
+        ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,12 +85,15 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
                 counts = np.diff(gram_at)
                 full = np.flatnonzero(counts)
                 keys = np.zeros((len(counts), bands), np.uint64)
+                bits = np.zeros((len(counts), SKETCH // 64), np.int64)
                 if len(full):
                     short = (grams >> np.uint64(32)).astype(np.uint32)
                     heads = gram_at[:-1][full]
                     least = np.empty((bands * rows, len(full)), np.uint32)
                     for i in range(bands * rows):
                         np.minimum.reduceat(short * multiply[i] + add[i], heads, out=least[i])
+                    pick = least[np.arange(SKETCH) % (bands * rows)].T * np.uint32(0x9E3779B1) >> np.uint32(31)
+                    bits[full] = np.ascontiguousarray(np.packbits(pick.astype(np.uint8), axis=1)).view(np.int64)
                     for band in range(bands):
                         key = np.full(len(full), np.uint64(band + 1) * np.uint64(0x9E3779B97F4A7C15))
                         for row in range(rows):
@@ -90,13 +104,16 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(keys[full].reshape(-1).view(np.int64))
                 )
+                sketches = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(counts) + 1) * (SKETCH // 64), pa.int32()), pa.array(bits.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(digests, pa.binary()),
-                     pa.array(counts, pa.int64()), lists], schema=schema,
+                     pa.array(counts, pa.int64()), lists, sketches], schema=schema,
                 )
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *row_key(doc_id, text), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, did long, tag int, cls binary, grams long, bands array<long>")
+    return narrow.mapInArrow(
+        run, "doc_id long, did long, tag int, cls binary, grams long, bands array<long>, sketch array<long>")
 
 
 def _similarities(pairs: DataFrame, words: int, least: float) -> DataFrame:
@@ -198,10 +215,11 @@ class NearJoin:
         self.buckets = self._buckets()
 
     def _classes(self) -> DataFrame:
-        """``node, cls, size, best, did, tag, bands``: one row per distinct sequence of words."""
+        """``node, cls, size, best, bands, grams, sketch``: one row per distinct sequence of words."""
         full = self.members.where("grams > 0")
         rank = F.struct(F.col("doc_id").isNull(), "doc_id", "did", "tag")
-        groups = full.groupBy("cls").agg(F.count(F.lit(1)).alias("size"), F.min(rank).alias("best"), F.first("bands").alias("bands"))
+        groups = full.groupBy("cls").agg(F.count(F.lit(1)).alias("size"), F.min(rank).alias("best"), F.first("bands").alias("bands"),
+            F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))
         return materialized(groups.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     def _buckets(self) -> DataFrame:
@@ -217,7 +235,20 @@ class NearJoin:
         texts = packed(self.rows_of, "text", "frame")
         return materialized(texts.join(wanted, ["did", "tag"]).dropDuplicates(["node"]).select("node", "frame"), "frames")
 
+    def _outline(self, node: str) -> DataFrame:
+        """Size and sketch of each class under names that end in the name of the node."""
+        bits = [F.col("sketch")[i].alias(f"s{i}_{node}") for i in range(SKETCH // 64)]
+        return self.classes.select(F.col("node").alias(node), F.col("grams").alias(f"grams_{node}"), *bits)
+
+    def _possible(self):
+        """Whether sizes and sketches of ``a`` and ``b`` allow the similarity."""
+        differ = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, SKETCH // 64)),
+                     F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+        least, most = F.least("grams_a", "grams_b"), F.greatest("grams_a", "grams_b")
+        return (least >= F.lit(self.threshold - 1e-9) * most) & (differ <= sketch_distance(self.threshold))
+
     def _verified(self, pairs: DataFrame) -> DataFrame:
+        pairs = pairs.join(self._outline("a"), "a").join(self._outline("b"), "b").where(self._possible()).select("a", "b")
         with_a = pairs.join(self.frames.select(F.col("node").alias("a"), F.col("frame").alias("frame_a")), "a")
         with_b = with_a.join(self.frames.select(F.col("node").alias("b"), F.col("frame").alias("frame_b")), "b")
         return materialized(_similarities(with_b, self.words, self.threshold), "verified")
@@ -234,21 +265,22 @@ class NearJoin:
         return labels if more.isEmpty() else components(edges.union(more))
 
     def _open_pairs(self, labels: DataFrame) -> DataFrame:
-        """Pairs of classes from different components in one bucket."""
+        """Pairs of classes from different components in one bucket that sizes and sketches allow."""
         own = F.coalesce("component", "node").alias("component")
         rows = self.buckets.select("key", "node").join(labels, "node", "left").select("key", "node", own, F.lit(-1).alias("band"))
         found = None
-        for depth in range(3):
+        for depth in range(DEPTH):
             counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-            counts = counts.where("x <> y").select("key", "n")
-            rows = materialized(rows.join(counts, "key"), "open")
-            small = rows if depth == 2 else rows.where(F.col("n") <= PAIRED)
-            a = small.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-            b = small.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = a.join(b, "key").where("a < b AND ca <> cb").select("a", "b")
+            rows = materialized(rows.join(counts.where("x <> y").select("key", "n"), "key"), "open")
+            last = depth == DEPTH - 1
+            small = rows if last else rows.where(F.col("n") <= PAIRED)
+            a = small.select("key", F.col("node").alias("a"), F.col("component").alias("ca")).join(self._outline("a"), "a")
+            b = small.select("key", F.col("node").alias("b"), F.col("component").alias("cb")).join(self._outline("b"), "b")
+            near = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & self._possible()
+            pairs = a.join(b, near).select("a", "b")
             found = pairs if found is None else found.union(pairs)
             large = rows.where(F.col("n") > PAIRED)
-            if depth == 2 or large.isEmpty():
+            if last or large.isEmpty():
                 break
             # Split by every further band: two similar classes meet again in one of them.
             parts = large.join(self.classes.select("node", "bands"), "node").select(

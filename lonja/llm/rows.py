@@ -32,7 +32,7 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound the bytes of one Arrow batch, so that a Python worker's memory does not depend on text lengths."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
