@@ -9,11 +9,16 @@ from lonja.llm.curriculum import mixture
 from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
 from lonja.llm import language, packing, quality
+from lonja.llm.repeats import repeated_spans
 from lonja.llm.rows import table
 from lonja.llm.token_files import round_trip
 from lonja.llm.topk import top_inner_products
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
     "op4_ngram_join": op4_ngram_join,

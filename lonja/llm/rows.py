@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
-#: Smallest long; stands for a null identifier in a row key.
-NO_ID = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """``did`` and ``tag``: equal for two rows only if their id is equal and (nearly always) their text too.
 
-    Two rows with the same id and text have the same results, so they may share a key.
+    Two rows with the same id and text have the same results, so they may share a key. A null id is replaced by a
+    hash of the text, so that rows without an id do not meet under one key.
     """
     return [
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("did"),
+        F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("did"),
         F.hash(F.coalesce(F.col(text), F.lit(""))).alias("tag"),
     ]
 
