@@ -25,8 +25,11 @@ TOP = 5
 DATA_BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Data blocks that one task searches one after the other for a block of queries.
-GROUP_BLOCKS = 32
-LEAF = 48
+GROUP_BLOCKS = 4
+#: Points of a node that is not divided, and most children of one that is. In many dimensions all distances are
+#: alike, and halving the radius would make every point a child of its own.
+LEAF = 256
+CHILDREN = 32
 #: Stands for a null id, which comes after every other in a tie.
 LAST = 2**63 - 1
 
@@ -47,7 +50,11 @@ class Tree:
 
 
 def build(ids: np.ndarray, uids: np.ndarray, points: np.ndarray) -> Tree:
-    """Cover tree: the children of a node are centres more than half its radius apart that cover its points."""
+    """Cover tree: the children of a node are centres far apart whose covering radii take in all its points.
+
+    Centres are added farthest first until each point is within half the node's radius of one, or there are
+    ``CHILDREN`` of them.
+    """
     order, centre, radius, low, high, children = [], [], [], [], [], []
 
     def grow(members: np.ndarray, middle: int) -> int:
@@ -62,9 +69,8 @@ def build(ids: np.ndarray, uids: np.ndarray, points: np.ndarray) -> Tree:
         if len(members) <= LEAF or reach == 0:
             order.extend(members.tolist())
         else:
-            # Farthest-first centres until every point is within half the radius of one.
             owner, near, heads = np.zeros(len(members), np.int64), gap.copy(), [middle]
-            while near.max() > reach / 2:
+            while near.max() > reach / 2 and len(heads) < CHILDREN:
                 far = int(near.argmax())
                 away = np.sqrt(((points[members] - points[members[far]]) ** 2).sum(axis=1))
                 closer = away < near
@@ -138,6 +144,9 @@ class Search:
         for i in np.flatnonzero(((values >= self.score[rows, -1:]) & ~own).any(axis=1)):
             row = a.low[q] + i
             pick = np.flatnonzero((values[i] >= self.score[row, -1]) & ~own[i])
+            if self.exact and len(pick) > self.top:
+                fifth = np.partition(values[i][pick], -self.top)[-self.top]
+                pick = pick[values[i][pick] >= fifth]
             score = np.concatenate([self.score[row], values[i][pick]])
             ids = np.concatenate([self.id[row], b.ids[cols][pick]])
             uids = np.concatenate([self.uid[row], b.uids[cols][pick]])
