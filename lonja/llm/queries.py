@@ -11,6 +11,7 @@ from lonja.llm.near_join import near_duplicates
 from lonja.llm import language, packing, quality
 from lonja.llm.repeats import repeated_spans
 from lonja.llm.rows import table
+from lonja.llm.secret_scan import scan
 from lonja.llm.token_files import round_trip
 from lonja.llm.topk import top_inner_products
 
@@ -39,6 +40,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -64,6 +69,7 @@ LLM_QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_ngram_join": op4_ngram_join,
     "op5_language": op5_language,
+    "op6_secret_scan": op6_secret_scan,
     "op7_top_k": op7_top_k,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
