@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lonja.llm.rows import small_batches
-from lonja.llm.tokens import Encoder, default_vocabulary, gathered
+from lonja.llm.tokens import default_vocabulary, gathered, shared_encoder
 from lonja.session import materialized
 
 END = 0
@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, doc_id: str, text: str, tokens: int, vocabulary: str
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         for batch in gathered(batches, 1):
             ids, at = encoder.encode(batch.column(1).fill_null(""))
             ids = ids.astype("<u4")

@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lonja.llm.rows import packed, row_key, small_batches
-from lonja.llm.tokens import Encoder, default_vocabulary, gathered
+from lonja.llm.rows import row_key, small_batches
+from lonja.llm.tokens import default_vocabulary, gathered, shared_encoder
 from lonja.session import materialized, work_folder
 
 END = 0
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 19
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -66,27 +66,19 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 def _tokenized(docs: DataFrame, doc_id: str, text: str, vocabulary: str) -> DataFrame:
     """Blocks of ids in ascending order of ids: ``part, block, docs, doc_null, lengths, ids`` (ids compressed)."""
-    rows = packed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text)[1], F.col(text).alias("text")), "text", "frame")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), row_key(doc_id, text)[1])
     # The hash of the text splits rows that share one id.
     rows = rows.repartitionByRange("doc_id", "tag").sortWithinPartitions("doc_id", "tag")
     names = ["part", "block", "docs", "doc_null", "lengths", "ids"]
 
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            texts = pa.array([unpack(x).decode() for x in batch.column(2).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
 
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        encoder, part, block = Encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in gathered(opened(batches), 1):
-            ids, at = encoder.encode(batch.column(1))
+        encoder, part, block = shared_encoder(vocabulary), TaskContext.get().partitionId(), 0
+        for batch in gathered(batches, 1):
+            ids, at = encoder.encode(batch.column(1).fill_null(""))
             names_of, none = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
             start = 0
             while start < batch.num_rows:

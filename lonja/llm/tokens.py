@@ -7,7 +7,9 @@ together by numpy. Texts in which a space touches other white space are encoded
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,10 @@ import pyarrow.compute as pc
 from lonja.llm.rows import byte_column, rows_by_bytes
 
 #: Bytes of text whose distinct pieces are encoded together.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
+#: Most pieces whose ids a worker process keeps from batch to batch, and the longest of them.
+KEPT = 1_000_000
+KEPT_LENGTH = 64
 _WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: A space at either end of the text or beside other white space.
 _UNEVEN = rf"^ | $| {_WHITE}|{_WHITE} "
@@ -30,11 +35,28 @@ def default_vocabulary() -> str:
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices ``values[start : start + length]`` one after the other."""
-    ends = np.cumsum(lengths)
-    if not len(ends) or ends[-1] == 0:
+    total = int(lengths.sum())
+    if total == 0:
         return values[:0]
-    place = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
-    return values[np.repeat(starts, lengths) + place]
+    kind = np.int32 if max(total, len(values)) < 2**31 else np.int64
+    # Each place is its slice's start plus its distance from the slice's first place in the result.
+    shift = starts.astype(kind) - (np.cumsum(lengths) - lengths).astype(kind)
+    place = np.repeat(shift, lengths)
+    place += np.arange(total, dtype=kind)
+    return values[place]
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker process and is shared by its tasks."""
+    return sys.modules.setdefault("_lonja_worker_cache", ModuleType("_lonja_worker_cache")).__dict__
+
+
+def shared_encoder(vocabulary: str) -> "Encoder":
+    """The worker process's encoder: what it learned about pieces in one task serves the next."""
+    cache = worker_cache()
+    if ("encoder", vocabulary) not in cache:
+        cache["encoder", vocabulary] = Encoder(vocabulary)
+    return cache["encoder", vocabulary]
 
 
 class Encoder:
@@ -49,54 +71,80 @@ class Encoder:
         words = self.model.get_vocab(with_added_tokens=True)
         self.head = np.zeros(max(words.values()) + 1, bool)
         self.head[[i for word, i in words.items() if word.startswith("Ġ")]] = True
+        self.known = pa.array([], pa.string())
+        self.known_ids, self.known_lengths = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and their number for each text, by plain encoding."""
-        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int64, int(lengths.sum()))
-        return flat, lengths
+        found = [np.array(x.ids, np.int32) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
+        return np.concatenate(found) if found else np.zeros(0, np.int32), lengths
 
-    def spaced(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def spaced(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The same for pieces without a space, each with one space before it.
 
         The pieces are encoded in long strings; a piece begins at each id whose bytes begin with a space.
         """
+        n = len(pieces)
+        if n == 0:
+            return self.each([])
+        cuts = pa.array(np.append(np.arange(0, n, 256), n), pa.int32())
+        strings = pc.binary_join(pa.ListArray.from_arrays(cuts, pieces), " ").to_pylist()
         flats, lengths = [], []
-        for at in range(0, len(pieces), 65536):
-            part = pieces[at : at + 65536]
-            strings = [" " + " ".join(part[i : i + 256]) for i in range(0, len(part), 256)]
-            flat, _ = self.each(strings)
+        for at in range(0, len(strings), 256):
+            flat, _ = self.each([" " + x for x in strings[at : at + 256]])
             heads = np.flatnonzero(self.head[flat])
-            if len(heads) != len(part):
+            if len(heads) != min(256 * 256, n - 256 * at):
                 raise AssertionError("a piece does not begin at a space")
             flats.append(flat)
-            lengths.append(np.diff(np.append(heads, len(flat))))
-        empty = np.zeros(0, np.int64)
-        return np.concatenate(flats or [empty]), np.concatenate(lengths or [empty])
+            lengths.append(np.diff(np.append(heads, len(flat))).astype(np.int32))
+        return np.concatenate(flats), np.concatenate(lengths)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of distinct pieces, known ones by lookup."""
+        place = pc.index_in(pieces, value_set=self.known)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        ids, lengths = self.spaced(pieces.filter(pa.array(new)))
+        before = len(self.known)
+        where = np.empty(len(pieces), np.int64)
+        where[~new] = place.drop_null().to_numpy()
+        where[new] = before + np.arange(int(new.sum()))
+        all_lengths = np.concatenate([self.known_lengths, lengths])
+        all_ids = np.concatenate([self.known_ids, ids])
+        starts = np.cumsum(all_lengths, dtype=np.int64) - all_lengths
+        result = ragged(all_ids, starts[where], all_lengths[where]), all_lengths[where]
+        room = KEPT - before
+        if room > 0 and len(lengths):
+            fresh = pieces.filter(pa.array(new))
+            keep = pc.less_equal(pc.binary_length(fresh), KEPT_LENGTH).to_numpy(zero_copy_only=False)
+            keep &= np.cumsum(keep) <= room
+            self.known = pa.concat_arrays([self.known, fresh.filter(pa.array(keep))])
+            first = np.cumsum(lengths) - lengths
+            self.known_ids = np.concatenate([self.known_ids, ragged(ids, first[keep], lengths[keep])])
+            self.known_lengths = np.concatenate([self.known_lengths, lengths[keep]])
+        return result
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (none null) and the n + 1 offsets."""
         counts = np.zeros(len(texts), np.int64)
         uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
         odd, even = np.flatnonzero(uneven), np.flatnonzero(~uneven)
-        odd_ids, odd_lengths = self.each(texts.take(pa.array(odd)).to_pylist()) if len(odd) else self.each([])
-        lists = pc.split_pattern(texts.take(pa.array(even)), " ")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
+        odd_ids, odd_lengths = self.each(texts.take(pa.array(odd)).to_pylist())
+        lists = pc.split_pattern(texts.take(pa.array(even)) if len(odd) else texts, " ")
+        offsets = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        index = coded.indices.to_numpy(zero_copy_only=False).copy()
         offsets = offsets - (offsets[0] if len(offsets) else 0)
-        words = coded.dictionary.to_pylist()
-        ids, lengths = self.spaced(words)
+        ids, lengths = self._pieces(coded.dictionary)
         # The first piece of a text has no space before it: such pieces follow as more entries.
         firsts = offsets[:-1]
         unique, place = np.unique(index[firsts], return_inverse=True) if len(firsts) else (firsts, firsts)
-        more, more_lengths = self.each([words[i] for i in unique])
+        more, more_lengths = self.each(coded.dictionary.take(pa.array(unique)).to_pylist())
         index[firsts] = len(lengths) + place
         lengths = np.concatenate([lengths, more_lengths])
         ids = np.concatenate([ids, more])
-        starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+        starts = np.cumsum(lengths) - lengths
         piece_lengths = lengths[index]
         flat = ragged(ids, starts[index], piece_lengths)
         ends = np.concatenate([[0], np.cumsum(piece_lengths)])[offsets]
