@@ -7,8 +7,9 @@
    Before that, pairs go whose set sizes rule the similarity out, or whose sketches (one bit of each of 256
    MinHash values) differ in more bits than six standard deviations above those of a pair at the threshold.
 3. Buckets whose members all ended in one verified component are settled. In the others, members of
-   different components are paired as well if sizes and sketches allow; a bucket that is too large for that is
-   first split by each further band, in which similar texts meet again with nearly the same recall.
+   different components are compared as well: by pairs in a small bucket, block by block in a larger one, of
+   which only a spanning forest of links comes out. A bucket too large for that is first split by each
+   further band, in which similar texts meet again with nearly the same recall.
 4. Within a component every pair of classes is compared exactly, block by block, to count links.
 """
 
@@ -32,11 +33,12 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MOST_HASHES = 304
 SKETCH = 256
-#: Members of different components in a bucket up to this size are compared directly; larger ones are split.
-PAIRED = 4096
-#: Most rounds of splitting.
+#: Classes of different components are paired in buckets up to FEW, compared in blocks in buckets up to SPLIT;
+#: larger buckets are split, at most DEPTH - 1 times.
+FEW = 12
+SPLIT = 8192
 DEPTH = 3
-#: Classes in one block of the exact comparison within a component.
+#: Classes in one block of an exact comparison.
 BLOCK = 512
 
 
@@ -146,61 +148,108 @@ def _similarities(pairs: DataFrame, words: int, least: float) -> DataFrame:
     return pairs.select("a", "b", "frame_a", "frame_b").mapInArrow(run, "a long, b long")
 
 
+def _compared(words: int, least: float):
+    """For two blocks of rows with a ``frame`` (or one block with itself): which pairs have the similarity."""
+    import zstandard
+
+    np.seterr(over="ignore")
+    open_frame, hasher = zstandard.ZstdDecompressor().decompress, Hasher()
+
+    def sets(block):
+        texts = [open_frame(row["frame"]).decode() for row in block]
+        data, at = byte_column(lowered(pa.array(texts, pa.string())))
+        values, owner, ends = unique_in_rows(*shingles(*hasher.words(data, at), words))
+        return values, owner, np.diff(ends)
+
+    def columns(values, owner, both):
+        """Rows and columns of the n-grams that are in ``both``, by column."""
+        place = np.searchsorted(both, values)
+        keep = both[np.minimum(place, len(both) - 1)] == values
+        place, owner = place[keep], owner[keep]
+        order = np.argsort(place, kind="stable")
+        return owner[order], place[order]
+
+    def compare(left, right):
+        va, oa, na = sets(left)
+        vb, ob, nb = (va, oa, na) if right is None else sets(right)
+        common = np.zeros((len(na), len(nb)), np.float32)
+        # Only n-grams of two texts count; their columns are taken in slices to bound the matrices.
+        if right is None:
+            seen, times = np.unique(va, return_counts=True)
+            both = seen[times > 1]
+        else:
+            both = np.intersect1d(va, vb)
+        if len(both):
+            (row_a, at_a), (row_b, at_b) = columns(va, oa, both), columns(vb, ob, both)
+            for at in range(0, len(both), 4096):
+                width = min(4096, len(both) - at)
+                sa, sb = (slice(*np.searchsorted(x, (at, at + width))) for x in (at_a, at_b))
+                ma, mb = np.zeros((len(na), width), np.float32), np.zeros((len(nb), width), np.float32)
+                ma[row_a[sa], at_a[sa] - at] = 1
+                mb[row_b[sb], at_b[sb] - at] = 1
+                common += ma @ mb.T
+        linked = common >= least * (na[:, None] + nb[None, :] - common) - 1e-6
+        if right is None:
+            np.fill_diagonal(linked, False)
+        return linked
+
+    return compare
+
+
 def _block_links(words: int, least: float):
-    """Links of each class between two blocks of classes (or inside one): ``node, links``."""
+    """Documents linked to each class between two blocks of classes, or inside one: ``node, links``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+        compare = _compared(words, least)
+        for batch in batches:
+            for one, two in zip(batch.column(0), batch.column(1), strict=True):
+                left, right = one.as_py(), two.as_py()
+                linked = compare(left, right).astype(np.int64)
+                for matrix, mine, others in ((linked, left, right), (linked.T, right, left)):
+                    if mine is not None:
+                        sizes = np.array([row["size"] for row in (others or mine)], np.int64)
+                        ids = pa.array([row["node"] for row in mine], pa.int64())
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(matrix @ sizes)], ["node", "links"])
+
+    return run
 
-        np.seterr(over="ignore")
-        open_frame, hasher = zstandard.ZstdDecompressor().decompress, Hasher()
 
-        def sets(block):
-            texts = [open_frame(row["frame"]).decode() for row in block]
-            data, at = byte_column(lowered(pa.array(texts, pa.string())))
-            values, owner, ends = unique_in_rows(*shingles(*hasher.words(data, at), words))
-            return values, owner, np.diff(ends)
+def _block_edges(words: int, least: float):
+    """Links between components, seen in two blocks of classes or inside one: a spanning forest ``a, b``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compare = _compared(words, least)
         for batch in batches:
-            for one, two, same in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                left = one.as_py()
-                right = left if same else two.as_py()
-                va, oa, na = sets(left)
-                vb, ob, nb = (va, oa, na) if same else sets(right)
-                # Only n-grams of both sides count; their columns are taken in slices to bound the matrices.
-                both = np.intersect1d(va, vb)
-                if same:
-                    seen, times = np.unique(va, return_counts=True)
-                    both = seen[times > 1]
-                common = np.zeros((len(na), len(nb)), np.float32)
-                pa_, pb_ = np.searchsorted(both, va), np.searchsorted(both, vb)
-                ka = (pa_ < len(both)) & (both[np.minimum(pa_, len(both) - 1)] == va) if len(both) else np.zeros(len(va), bool)
-                kb = (pb_ < len(both)) & (both[np.minimum(pb_, len(both) - 1)] == vb) if len(both) else np.zeros(len(vb), bool)
-                pa_, oa_, pb_, ob_ = pa_[ka], oa[ka], pb_[kb], ob[kb]
-                oa_, pa_ = oa_[o := np.argsort(pa_, kind="stable")], pa_[o]
-                ob_, pb_ = ob_[o := np.argsort(pb_, kind="stable")], pb_[o]
-                for at in range(0, len(both), 4096):
-                    sa, sb = (slice(*np.searchsorted(p, (at, at + 4096))) for p in (pa_, pb_))
-                    width = min(4096, len(both) - at)
-                    ma, mb = np.zeros((len(na), width), np.float32), np.zeros((len(nb), width), np.float32)
-                    ma[oa_[sa], pa_[sa] - at] = 1
-                    mb[ob_[sb], pb_[sb] - at] = 1
-                    common += ma @ mb.T
-                union = na[:, None] + nb[None, :] - common
-                linked = common >= least * union - 1e-6
-                if same:
-                    np.fill_diagonal(linked, False)
-                ids = [row["node"] for row in left], [row["node"] for row in right]
-                sizes = [np.array([row["size"] for row in block], np.int64) for block in (left, right)]
-                links = linked.astype(np.int64) @ sizes[1]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[0], pa.int64()), pa.array(links)], ["node", "links"])
-                if not same:
-                    links = linked.T.astype(np.int64) @ sizes[0]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[1], pa.int64()), pa.array(links)], ["node", "links"])
+            for one, two in zip(batch.column(0), batch.column(1), strict=True):
+                left, right = one.as_py(), two.as_py()
+                linked = compare(left, right)
+                parent: dict[int, int] = {}
+
+                def top(x):
+                    while parent.setdefault(x, x) != x:
+                        parent[x] = x = parent[parent[x]]
+                    return x
+
+                edges: list[tuple[int, int]] = []
+                other = right or left
+                for i, j in zip(*np.nonzero(linked), strict=True):
+                    a, b = top(left[i]["component"]), top(other[j]["component"])
+                    if a != b:
+                        parent[a] = b
+                        edges.append((left[i]["node"], other[j]["node"]))
+                yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
+def _block_pairs(blocks: DataFrame, group: str) -> DataFrame:
+    """``items, more``: each block of a group with itself (``more`` null) and with each later one."""
+    blocks = materialized(blocks, "blocks")
+    other = blocks.select(group, F.col("block").alias("other"), F.col("items").alias("more"))
+    inside = blocks.select("items", F.lit(None).cast(blocks.schema["items"].dataType).alias("more"))
+    return inside.union(blocks.join(other, group).where("block < other").select("items", "more"))
+
+
 class NearJoin:
     """The steps of the join over one document table; see the module's text."""
 
@@ -257,29 +306,33 @@ class NearJoin:
         """``node, component`` of the classes that are linked to another class."""
         self.frames = self._frames()
         stars = self.buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        stars = materialized(stars, "stars")
         edges = self._verified(stars)
         labels = components(edges)
-        pairs = self._open_pairs(labels).join(stars, ["a", "b"], "left_anti")
-        more = self._verified(pairs)
+        more = materialized(self._open_links(labels), "open-links")
         return labels if more.isEmpty() else components(edges.union(more))
 
-    def _open_pairs(self, labels: DataFrame) -> DataFrame:
-        """Pairs of classes from different components in one bucket that sizes and sketches allow."""
+    def _open_links(self, labels: DataFrame) -> DataFrame:
+        """Links between classes of different components in one bucket, as many as connect the components."""
         own = F.coalesce("component", "node").alias("component")
         rows = self.buckets.select("key", "node").join(labels, "node", "left").select("key", "node", own, F.lit(-1).alias("band"))
-        found = None
+        pairs, found = None, None
         for depth in range(DEPTH):
             counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-            rows = materialized(rows.join(counts.where("x <> y").select("key", "n"), "key"), "open")
+            # The one pair of a bucket of two was a star pair.
+            counts = counts.where("x <> y AND n > 2").select("key", "n")
+            rows = materialized(rows.join(counts, "key"), "open")
             last = depth == DEPTH - 1
-            small = rows if last else rows.where(F.col("n") <= PAIRED)
-            a = small.select("key", F.col("node").alias("a"), F.col("component").alias("ca")).join(self._outline("a"), "a")
-            b = small.select("key", F.col("node").alias("b"), F.col("component").alias("cb")).join(self._outline("b"), "b")
-            near = (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & self._possible()
-            pairs = a.join(b, near).select("a", "b")
-            found = pairs if found is None else found.union(pairs)
-            large = rows.where(F.col("n") > PAIRED)
+            few = rows.where(F.col("n") <= FEW)
+            a = few.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
+            b = few.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
+            some = a.join(b, "key").where("a < b AND ca <> cb").select("a", "b")
+            pairs = some if pairs is None else pairs.union(some)
+            middle = rows.where((F.col("n") > FEW) & (F.lit(last) | (F.col("n") <= SPLIT)))
+            blocks = middle.join(self.frames, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(BLOCK))))
+            blocks = blocks.groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "frame")).alias("items"))
+            links = _block_pairs(blocks, "key").mapInArrow(_block_edges(self.words, self.threshold), "a long, b long")
+            found = links if found is None else found.union(links)
+            large = rows.where(F.col("n") > SPLIT)
             if last or large.isEmpty():
                 break
             # Split by every further band: two similar classes meet again in one of them.
@@ -288,22 +341,16 @@ class NearJoin:
             )
             parts = parts.where("next > band AND other <> key")
             rows = parts.select(F.xxhash64("key", "other").alias("key"), "node", "component", F.col("next").alias("band"))
-        return found.distinct()
+        return found.union(self._verified(pairs.distinct())).distinct()
 
     def links(self, labels: DataFrame) -> DataFrame:
         """``node, links``: documents linked to each class, other classes only."""
-        spark = labels.sparkSession
         sizes = labels.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
         rows = labels.join(sizes, "component").join(self.frames, "node").join(self.classes.select("node", "size"), "node")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         blocks = rows.groupBy("component", "block").agg(F.collect_list(F.struct("node", "size", "frame")).alias("items"))
-        blocks = materialized(blocks, "blocks")
-        other = blocks.select("component", F.col("block").alias("other"), F.col("items").alias("more"))
-        inside = blocks.select("items", F.lit(None).cast(blocks.schema["items"].dataType).alias("more"), F.lit(True).alias("same"))
-        across = blocks.join(other, "component").where("block < other").select("items", "more", F.lit(False).alias("same"))
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-        return inside.union(across).mapInArrow(_block_links(self.words, self.threshold), "node long, links long").groupBy(
-            "node").agg(F.sum("links").alias("links"))
+        counts = _block_pairs(blocks, "component").mapInArrow(_block_links(self.words, self.threshold), "node long, links long")
+        return counts.groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,

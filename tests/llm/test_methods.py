@@ -128,9 +128,11 @@ def test_banding():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 and bands * rows <= 304
 
 
-def test_near_join_in_split_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("few,split", [(1, 3), (1, 100), (100, 100)])
+def test_near_join_in_large_buckets(spark, monkeypatch, few, split):
     """Buckets that must be split, blocks of two classes, and chains whose ends are not similar."""
-    monkeypatch.setattr(near_join, "PAIRED", 3)
+    monkeypatch.setattr(near_join, "FEW", few)
+    monkeypatch.setattr(near_join, "SPLIT", split)
     monkeypatch.setattr(near_join, "BLOCK", 2)
     rng = np.random.default_rng(8)
     words = [f"w{i}" for i in range(300)]
