@@ -5,9 +5,11 @@ substrings (the leftmost one in a tie). Equal strings have equal anchors, so gro
 Neighbouring start positions with the same anchor place form a run; a run of n starts is a text of
 n + length - 1 bytes.
 
-1. Anchors that occur once are out. Equal runs are counted once, with their first and last place.
-2. Their texts are fetched, and groups are sorted into suffix arrays by two-stage sorting; a start is repeated
-   if it has a common prefix of ``length`` bytes with a neighbour.
+1. Anchors that occur once are out. Equal runs are merged and counted before any text moves; a run that occurs
+   more than once is repeated as a whole. What remains to be found are the repeated starts of single runs.
+2. The texts of the different runs of each anchor that has a single run among them are fetched, and the groups
+   are sorted into suffix arrays by two-stage sorting; a start is repeated if it has a common prefix of
+   ``length`` bytes with a neighbour.
 3. A group with more than ``LARGE`` different runs would burden one task: its strings are counted by their
    128-bit digests instead, partial counts first.
 4. The repeated starts go back to all places of their run, and each document drops the bytes they cover.
@@ -249,20 +251,19 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts = _runs(rows, length, gram, False).groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     runs = _runs(rows, length, gram, True).join(counts.where("times > 1").select("anchor"), "anchor", "left_semi")
     runs = materialized(runs, "runs")
-    place = F.struct("did", "tag", "start")
     unique = runs.groupBy("anchor", "digest").agg(
-        F.count(F.lit(1)).alias("times"), F.min(place).alias("first"), F.max(place).alias("last"), F.first("n").alias("n"))
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("did", "tag", "start", "n")).alias("place"))
     unique = materialized(unique.withColumn("run", F.monotonically_increasing_id()), "unique-runs")
-    sizes = unique.groupBy("anchor").agg((F.count(F.lit(1)) > large).alias("large"))
-    places = F.when(F.col("first") != F.col("last"), F.array("first", "last")).otherwise(
-        F.when(F.col("times") > 1, F.array("first", "first")).otherwise(F.array("first")))
-    wanted = unique.join(sizes, "anchor").select("anchor", "large", "run", "n", F.explode(places).alias("place")).select(
-        "anchor", "large", "run", "n", "place.*")
+    groups = unique.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.min("times").alias("least"))
+    groups = groups.where("different > 1 AND least = 1").select("anchor", (F.col("different") > large).alias("large"))
+    wanted = unique.join(groups, "anchor").select("anchor", "large", "run", "place.*")
     frames = packed(rows, "text", "frame")
     texts = materialized(_texts(frames, wanted, length), "texts")
     dealt = texts.where("NOT large").select("anchor", "run", "text").repartition("anchor").sortWithinPartitions("anchor")
     found = dealt.mapInArrow(_search_groups(length), "run long, low long, high long")
-    found = found.union(_large_groups(texts.where("large"), length)).distinct()
+    found = found.union(_large_groups(texts.where("large"), length))
+    whole = unique.where("times > 1").select("run", F.lit(0).cast("long").alias("low"), F.col("place.n").cast("long").alias("high"))
+    found = found.join(whole.select("run"), "run", "left_anti").union(whole)
     starts = unique.select("anchor", "digest", "run").join(found, "run").select("anchor", "digest", "low", "high")
     ranges = runs.join(starts, ["anchor", "digest"]).select(
         "did", "tag", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))

@@ -30,30 +30,38 @@ def _direct(chosen: np.ndarray, keys: np.ndarray, left: np.ndarray) -> np.ndarra
     if len(chosen) == 0:
         return chosen
     first = _masked(keys[chosen], left[chosen])
-    order = np.lexsort((chosen, first))
+    order = np.argsort(first)
     result, first = chosen[order], first[order]
     slots, depth = np.arange(len(result)), 8
     new = np.ones(len(result), bool)
     new[1:] = first[1:] != first[:-1]
     group = np.maximum.accumulate(np.where(new, slots, 0))
     while True:
-        # Ties whose strings ended keep the order of their positions.
         tied = np.zeros(len(group), bool)
         same = group[1:] == group[:-1]
         tied[1:] = same
         tied[:-1] |= same
-        tied &= left[result[slots]] >= depth
+        # The strings of one group end together; their suffixes are equal and stand by position.
+        ended = tied & (left[result[slots]] < depth)
+        if ended.any():
+            own, places = slots[ended], result[slots[ended]]
+            result[own] = places[np.lexsort((places, group[ended]))]
+        tied &= ~ended
         if not tied.any():
             return result
         slots, group = slots[tied], group[tied]
         places = result[slots]
         key = _masked(keys[np.minimum(places + depth, len(keys) - 1)], left[places] - depth)
-        order = np.lexsort((places, key, group))
-        result[slots] = places[order]
+        # Sort by group and key at once: the keys' dense ranks fit beside the group's number.
+        order = np.argsort(key)
         key = key[order]
+        rank = np.empty(len(key), np.uint64)
+        rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        both = group.astype(np.uint64) << np.uint64(32) | rank
+        order = np.argsort(both)
+        result[slots], both = places[order], both[order]
         # Within a group the slots stay the same; each new value opens a group at its first slot.
-        new = np.ones(len(slots), bool)
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+        new = np.append(True, both[1:] != both[:-1])
         group = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
         depth += 8
 
