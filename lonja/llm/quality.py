@@ -268,4 +268,5 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     small_batches(docs.sparkSession)
     marks = labels.where("quality IN (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("label"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(~held_out("doc_id"))
-    return fit(rows.join(marks, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label"))
+    # Labels grow with the documents: the same shuffle join at every size, never a broadcast.
+    return fit(rows.join(marks.hint("merge"), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label"))
