@@ -128,12 +128,55 @@ ORACLE["warn_reserved_exceeds_quantity"] = b.with_ctes(STOCK, (
     "SELECT locator, v_quantity AS quantity, v_reserved AS reserved, 'RESERVED_EXCEEDS_QUANTITY' AS code, '' AS field, 'warn' AS action, 'warning' AS severity "
     "FROM st_checked WHERE valid AND v_reserved > v_quantity"
 ))
+RULES = b.add(b.p_discount(RULE_TEXTS, "base_text", "v_ratio"), k=b.key("label"))
+RULES = b.add(RULES, problem=(
+    "CASE WHEN kind NOT IN ('categoria', 'marca') OR k IS NULL OR bases <> 1 OR nested OR v_ratio IS NULL THEN 'INVALID_TARIFF' END"
+))
+EXCEPTIONS = b.p_money(b.p_identifier(EXCEPTION_TEXTS, "sku", "v_sku"), "price_text", "v_price")
+EXCEPTIONS = b.add(EXCEPTIONS, flag=f"CASE WHEN flags > 0 THEN lower({b.trimmed('flag_text')}) END")
+EXCEPTIONS = b.add(
+    EXCEPTIONS,
+    blocked="v_price IS NULL OR nested OR coalesce(flag <> 'false', false)",
+    problem="CASE WHEN v_sku IS NULL THEN 'INVALID_TARIFF' END",
+)
+EXCEPTION = {
+    "exc_parsed": f"SELECT *, CASE WHEN NOT blocked THEN v_price END AS agreed FROM {EXCEPTIONS}",
+    "exc_kept": (
+        "SELECT *, row_number() OVER w = 1 AS first, CASE WHEN blocked THEN first_value(blocked) OVER w AND first_value(price_text) OVER w IS NOT DISTINCT FROM price_text "
+        "AND first_value(flag) OVER w IS NOT DISTINCT FROM flag ELSE NOT first_value(blocked) OVER w AND first_value(agreed) OVER w = agreed END AS same "
+        "FROM exc_parsed WHERE problem IS NULL WINDOW w AS (PARTITION BY v_sku ORDER BY ord)"
+    ),
+}
+TERMS = f"""
+  SELECT '/TarifasProveedor/Condiciones/*[' || (c_custkey + 1) || ']' AS locator, NULL AS entity, 'UNAPPLIED_TARIFF_TERM' AS code, '' AS field, {WARNED} FROM customer
+  UNION ALL SELECT locator || '/PorVolumen[' || i || ']', concat_ws(':', kind, k), 'UNAPPLIED_TARIFF_TERM', '', {WARNED}
+  FROM (SELECT *, unnest(range(1, volumes + 1)) AS i FROM {RULES})"""
+ORPHANS = (
+    "SELECT locator, v_sku AS entity, 'UNKNOWN_PRODUCT_SKU' AS code, '' AS field, 'warn' AS action, 'warning' AS severity FROM exc_kept "
+    "WHERE first AND v_sku NOT IN (SELECT v_sku FROM cat_parsed WHERE candidate)"
+)
+REPEATED = "'EXACT_DUPLICATE' AS code, '' AS field, 'deduplicate' AS action, 'info' AS severity"
 ALL = {
-    **CATALOGUE, **ORDERS, **STOCK, **SALES,
+    **CATALOGUE, **ORDERS, **STOCK, **SALES, **EXCEPTION,
+    "rule_repeats": (
+        f"SELECT locator, concat_ws(':', kind, k) AS entity, {REPEATED} FROM (SELECT *, row_number() OVER w = 1 AS first, first_value(v_ratio) OVER w = v_ratio AS same "
+        f"FROM {RULES} WHERE problem IS NULL WINDOW w AS (PARTITION BY kind, k ORDER BY ord)) WHERE NOT first AND same"
+    ),
+    "exception_issues": (
+        f"SELECT locator, v_sku AS entity, {REPEATED} FROM exc_kept WHERE NOT first AND same UNION ALL "
+        f"SELECT locator, v_sku, 'INVALID_EXCEPTION_PRICE', '', {WARNED} FROM exc_kept WHERE first AND blocked"
+    ),
+    "created_issues": (
+        "SELECT locator, v_sku AS entity, 'HISTORICAL_PRODUCT_CREATED' AS code, '' AS field, 'warn' AS action, 'warning' AS severity FROM ord_final "
+        "WHERE outcome = 'accepted' AND CAST(substr(v_sku, 5) AS BIGINT) % 7 = 0 QUALIFY row_number() OVER (PARTITION BY v_sku ORDER BY v_id, ord) = 1"
+    ),
     "ledger_rows": (
         f"SELECT 'catalog_csv' AS source, CAST(ord AS VARCHAR) AS locator, entity, {ISSUE} FROM cat_ledger "
         f"UNION ALL SELECT 'orders_csv', locator, entity, {ISSUE} FROM ord_ledger "
-        f"UNION ALL SELECT 'stock_api', locator, entity, {ISSUE} FROM st_ledger UNION ALL SELECT 'stock_api', locator, entity, {ISSUE} FROM st_extra"
+        f"UNION ALL SELECT 'stock_api', locator, entity, {ISSUE} FROM st_ledger UNION ALL SELECT 'stock_api', locator, entity, {ISSUE} FROM st_extra "
+        f"UNION ALL SELECT 'tariffs_xml', locator, entity, {ISSUE} FROM rule_repeats UNION ALL SELECT 'tariffs_xml', locator, entity, {ISSUE} FROM exception_issues "
+        f"UNION ALL SELECT 'tariffs_xml', locator, entity, {ISSUE} FROM ({TERMS}) UNION ALL SELECT 'tariffs_xml', locator, entity, {ISSUE} FROM ({ORPHANS}) "
+        f"UNION ALL SELECT 'orders_csv', locator, entity, {ISSUE} FROM created_issues"
     ),
 }
 ORACLE["issue_ledger"] = b.with_ctes(ALL, (
@@ -147,19 +190,24 @@ def excerpt(columns, limit=None):
 
 
 CELL_LIST = "'[' || array_to_string(list_slice([" + ", ".join(excerpt(CATALOGUE_COLUMNS)) + "], 1, n_cells), ', ') || ']'"
+STOCK_SHOWN = ["sku", "warehouse", "quantity", "reserved", "updated_at"]
+STOCK_MAP = "'{' || " + " || ', ' || ".join(f"'\"{c}\": ' || coalesce({e}, 'null')" for c, e in zip(STOCK_SHOWN, excerpt(STOCK_SHOWN, 70))) + " || '}'"
 SHOWN = [c for c in ORDER_COLUMNS if c != "cliente"]
 ORDER_MAP = "'{' || " + " || ', ' || ".join(f"'\"{c}\": ' || {e}" for c, e in zip(SHOWN, excerpt(SHOWN, 100))) + " || '}'"
 ORACLE["bounded_excerpt"] = (
     f"SELECT source, locator, excerpt, {small('length(excerpt)', 'n_chars')} FROM ("
     f"SELECT 'catalog_csv' AS source, CAST(ord AS VARCHAR) AS locator, left({CELL_LIST}, 512) AS excerpt FROM {CATALOGUE_TEXTS} UNION ALL "
-    f"SELECT 'orders_csv', locator, left(CASE WHEN n_cells = 9 THEN {ORDER_MAP} ELSE '{{\"column_count\": ' || n_cells || '}}' END, 512) FROM {ORDER_TEXTS})"
+    f"SELECT 'orders_csv', locator, left(CASE WHEN n_cells = 9 THEN {ORDER_MAP} ELSE '{{\"column_count\": ' || n_cells || '}}' END, 512) FROM {ORDER_TEXTS} UNION ALL "
+    f"SELECT 'stock_api', 'page:' || page || '/row:' || (i + 1), CASE WHEN i % 11 = 4 THEN 'Tipo de registro inválido: list' ELSE left({STOCK_MAP}, 512) END FROM ("
+    "SELECT * REPLACE (CASE WHEN i % 11 = 3 AND warehouse IS NOT NULL THEN '[tipo inválido]' ELSE warehouse END AS warehouse, "
+    "CASE WHEN i % 11 = 2 AND reserved IS NOT NULL THEN 'True' ELSE reserved END AS reserved, "
+    "CASE WHEN NOT regexp_full_match(quantity, '[0-9]+') THEN quantity WHEN i % 11 = 1 THEN quantity || '.0' "
+    "WHEN i % 11 = 5 THEN left(quantity, 1) || CASE WHEN length(quantity) > 1 THEN '.' || substr(quantity, 2) ELSE '' END || 'E+' || (length(quantity) + 2) "
+    "ELSE quantity END AS quantity) FROM (SELECT *, ord // 100 + 1 AS page, row_number() OVER (PARTITION BY ord // 100 ORDER BY ord) - 1 AS i "
+    f"FROM {STOCK_TEXTS} WHERE ord % 2 = 0)))"
 )
 
 # --- tariffs
-RULES = b.add(b.p_discount(RULE_TEXTS, "base_text", "v_ratio"), k=b.key("label"))
-RULES = b.add(RULES, problem=(
-    "CASE WHEN kind NOT IN ('categoria', 'marca') OR k IS NULL OR bases <> 1 OR nested OR v_ratio IS NULL THEN 'INVALID_TARIFF' END"
-))
 ORACLE["tariff_rule_validate"] = f"SELECT ord, kind, k AS key, {real('v_ratio', 'ratio')}, problem FROM {RULES}"
 REPEATS = "row_number() OVER w > 1"
 ORACLE["tariff_rule_dedup"] = f"""
@@ -167,35 +215,14 @@ ORACLE["tariff_rule_dedup"] = f"""
     WINDOW w AS (PARTITION BY kind, k ORDER BY ord))
   SELECT r.ord, coalesce(m.first, false) AS kept, coalesce(problem, CASE WHEN NOT first AND NOT same THEN 'CONFLICTING_TARIFF' END) AS problem,
     CASE WHEN NOT first AND same THEN 'EXACT_DUPLICATE' END AS issue FROM r LEFT JOIN m USING (ord)"""
-EXCEPTIONS = b.p_money(b.p_identifier(EXCEPTION_TEXTS, "sku", "v_sku"), "price_text", "v_price")
-EXCEPTIONS = b.add(EXCEPTIONS, flag=f"CASE WHEN flags > 0 THEN lower({b.trimmed('flag_text')}) END")
-EXCEPTIONS = b.add(
-    EXCEPTIONS,
-    blocked="v_price IS NULL OR nested OR coalesce(flag <> 'false', false)",
-    problem="CASE WHEN v_sku IS NULL THEN 'INVALID_TARIFF' END",
-)
-EXCEPTION = {
-    "exc_parsed": f"SELECT *, CASE WHEN NOT blocked THEN v_price END AS agreed FROM {EXCEPTIONS}",
-    "exc_kept": (
-        "SELECT *, row_number() OVER w = 1 AS first, CASE WHEN blocked THEN first_value(blocked) OVER w AND first_value(price_text) OVER w IS NOT DISTINCT FROM price_text "
-        "AND first_value(flag) OVER w IS NOT DISTINCT FROM flag ELSE NOT first_value(blocked) OVER w AND first_value(agreed) OVER w = agreed END AS same "
-        "FROM exc_parsed WHERE problem IS NULL WINDOW w AS (PARTITION BY v_sku ORDER BY ord)"
-    ),
-}
 ORACLE["tariff_exception_validate"] = b.with_ctes(EXCEPTION, f"SELECT ord, v_sku AS sku, {real('agreed', 'agreed_price')}, blocked, problem FROM exc_parsed")
 ORACLE["tariff_exception_dedup"] = b.with_ctes(EXCEPTION, (
     "SELECT p.ord, coalesce(k.first, false) AS kept, coalesce(p.problem, CASE WHEN NOT k.first AND NOT k.same THEN 'CONFLICTING_TARIFF' END) AS problem, "
     "CASE WHEN k.first AND k.blocked THEN 'INVALID_EXCEPTION_PRICE' WHEN NOT k.first AND k.same THEN 'EXACT_DUPLICATE' END AS issue "
     "FROM exc_parsed p LEFT JOIN exc_kept k USING (ord)"
 ))
-ORACLE["unapplied_terms"] = f"""
-  SELECT '/TarifasProveedor/Condiciones/*[' || (c_custkey + 1) || ']' AS locator, NULL AS entity, 'UNAPPLIED_TARIFF_TERM' AS code, '' AS field, {WARNED} FROM customer
-  UNION ALL SELECT locator || '/PorVolumen[' || i || ']', concat_ws(':', kind, k), 'UNAPPLIED_TARIFF_TERM', '', {WARNED}
-  FROM (SELECT *, unnest(range(1, volumes + 1)) AS i FROM {RULES})"""
-ORACLE["orphan_exceptions"] = b.with_ctes({**CATALOGUE, **EXCEPTION}, (
-    "SELECT locator, v_sku AS entity, 'UNKNOWN_PRODUCT_SKU' AS code, '' AS field, 'warn' AS action, 'warning' AS severity FROM exc_kept "
-    "WHERE first AND v_sku NOT IN (SELECT v_sku FROM cat_parsed WHERE candidate)"
-))
+ORACLE["unapplied_terms"] = TERMS
+ORACLE["orphan_exceptions"] = b.with_ctes({**CATALOGUE, **EXCEPTION}, ORPHANS)
 
 # --- pricing and candidate selection
 ORACLE["price_by_exception"] = b.with_ctes(CATALOGUE, f"SELECT ord, has_exception, {real('agreed', 'agreed_price')} FROM cat_quoted WHERE candidate")
@@ -390,7 +417,7 @@ def outcomes(source: str) -> str:
     )
 
 
-COUNTED = {**ALL, **EXCEPTION}
+COUNTED = ALL
 CATALOGUE_COUNTS = (
     f"SELECT {outcomes('cat_chosen')}, (SELECT count(*) FROM exc_kept WHERE first AND blocked) AS quality_warnings, "
     "(SELECT count(*) FROM cat_ledger WHERE action = 'drop_field') AS discarded_fields, (SELECT count(*) FROM cat_chosen WHERE outcome = 'accepted') AS products_loaded"
@@ -419,11 +446,11 @@ ORACLE["missing_order_reasons"] = b.with_ctes(ORDERS, (
 ))
 REJECTED = "(SELECT count(*) FROM cat_chosen WHERE outcome = 'rejected') + (SELECT count(*) FROM ord_final WHERE outcome = 'rejected') + (SELECT count(*) FROM st_final WHERE outcome = 'rejected')"
 ORACLE["run_summary"] = b.with_ctes(COUNTED, f"""
-  SELECT 'etl-summary-v1' AS schema_version, 'run-2' AS run_id, '2001-06-30' AS as_of, (SELECT count(*) FROM cat_chosen WHERE outcome = 'accepted') AS products_loaded,
+  SELECT 'etl-summary-v2' AS schema_version, 'run-2' AS run_id, '2001-06-30' AS as_of, (SELECT count(*) FROM cat_chosen WHERE outcome = 'accepted') AS products_loaded,
     {REJECTED} AS rows_rejected, (SELECT CAST({MONEY} AS VARCHAR) FROM eligible {LAST_MONTH}) AS revenue_previous_month, '2001-05' AS previous_month,
-    {small(f'(SELECT count(*) FROM ({LOW}))', 'low_stock_count')}, {small('100', 'rejection_threshold')}, {REJECTED} > 100 OR EXISTS ({LOW}) AS alert_required,
+    {long(f'(SELECT count(*) FROM ({LOW}))', 'low_stock_count')}, {small('100', 'rejection_threshold')}, {REJECTED} > 100 OR EXISTS ({LOW}) AS alert_required,
     {small("(SELECT count(DISTINCT source || code) FROM ledger_rows WHERE action = 'reject_row')", 'n_reasons')},
-    (SELECT sku FROM ({LOW}) ORDER BY stock_total, recent_units DESC, sku LIMIT 1) AS first_low_sku, (SELECT count(*) FROM ord_loaded) AS orders_loaded""")
+    (SELECT count(*) FROM ord_loaded) AS orders_loaded""")
 ORACLE["alert_required"] = (
     "SELECT day, rejected, low_stock, rejected > 66 OR low_stock > 0 AS alert FROM (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) FILTER (WHERE event_type = 'error') AS rejected, "
     "count(*) FILTER (WHERE event_type = 'purchase' AND value > 300) AS low_stock FROM events GROUP BY 1)"

@@ -51,6 +51,10 @@ def _wall_clocks(text: Column) -> Column:
     )
 
 
+def _calendar_digits(found: Column) -> Column:
+    return F.struct(ascii_digits(found["text"]).alias("text"), found["zoned"].alias("zoned"), found["utc"].alias("utc"))
+
+
 def _date_in(zone: str):
     def day(found: Column) -> Column:
         local = F.convert_timezone(F.lit("UTC"), F.lit(zone), found["utc"]).cast("date")
@@ -63,8 +67,11 @@ def _date_in(zone: str):
 
 
 def date_in(zone: str) -> Parser:
-    """Four calendar layouts with an optional time, or a zoned instant as a day in the given zone."""
-    return Parser(present, ascii_digits, _wall_clocks, _date_in(zone))
+    """Four calendar layouts with an optional time, or a zoned instant as a day in the given zone.
+
+    Digits of other scripts are read as such in the calendar layouts only.
+    """
+    return Parser(present, _wall_clocks, _calendar_digits, _date_in(zone))
 
 
 def _instant(found: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lonja.functions import text
+from lonja.session import materialized
 from lonja.vocabulary import CATALOGUE, PAGE_SIZE
 
 
@@ -26,26 +27,35 @@ def catalog_category(products: DataFrame, category: str = "") -> DataFrame:
     """Products of one category, compared by key; a missing-value token matches nothing."""
     if not category:
         return products
-    wanted = products.sparkSession.range(1).select(
-        text.comparison_key(F.lit(category)).alias("category_key")
-    )
-    return products.join(wanted, "category_key", "left_semi")
+    return products.where(F.col("category_key") == text.comparison_key(F.lit(category)))
 
 
 def catalog_page(
     products: DataFrame, query: str = "", category: str = "", page: int = 1
 ) -> tuple[DataFrame, int, int, int]:
-    """One page by SKU with the total, the page shown (clamped) and the number of pages."""
+    """One page by SKU with the total, the page shown (clamped) and the number of pages.
+
+    The products are range-partitioned by SKU once; the row counts of the ranges give the total and tell
+    which of them hold the page, so a late page does not sort all that comes before it.
+    """
     rows = catalog_category(catalog_search(products, query), category)
-    total = rows.count()
+    columns = ["sku", "name", "category", "net_cost", "pvp", "stock_total", "stock_status"]
+    ranges = rows.select(columns).repartitionByRange("sku").withColumn("_range", F.spark_partition_id())
+    ranges = materialized(ranges, "page-ranges")
+    # One row per range on the driver.
+    counts = sorted((row["_range"], row["count"]) for row in ranges.groupBy("_range").count().collect())
+    total = sum(count for _, count in counts)
     pages = max(1, -(-total // PAGE_SIZE))
     page = min(max(page, 1), pages)
-    shown = (
-        rows.select("sku", "name", "category", "net_cost", "pvp", "stock_total", "stock_status")
-        .orderBy("sku")
-        .offset((page - 1) * PAGE_SIZE)
-        .limit(PAGE_SIZE)
-    )
+    first, last = (page - 1) * PAGE_SIZE, page * PAGE_SIZE
+    wanted, skipped, before = [], 0, 0
+    for number, count in counts:
+        if before + count <= first:
+            skipped += count
+        elif before < last:
+            wanted.append(number)
+        before += count
+    shown = ranges.where(F.col("_range").isin(wanted)).drop("_range").orderBy("sku").offset(first - skipped).limit(PAGE_SIZE)
     return shown, total, page, pages
 
 

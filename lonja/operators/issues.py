@@ -110,8 +110,14 @@ def explode_issues(records: DataFrame, excerpt: Column) -> DataFrame:
 
 
 def json_text(value: Column) -> Column:
-    """The JSON literal of one string, as a compact serializer writes it."""
-    return F.substring(F.to_json(F.array(value)), F.lit(2), F.length(F.to_json(F.array(value))) - 2)
+    """The JSON literal of one string; control characters with small hexadecimal digits."""
+    text = F.to_json(F.array(value))
+    small = text
+    for digit in "ABCDEF":
+        # An odd number of backslashes begins an escape; an even one is text.
+        small = F.regexp_replace(small, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
+    text = F.when(value.rlike("[\\x00-\\x1F]"), small).otherwise(text)
+    return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
 def cells_excerpt(cells: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators.grouping import lookup
 from lonja.operators.issues import issue
+from lonja.session import materialized
 from lonja.vocabulary import DETAIL, ORDERS, WARN
 
 ATTRIBUTES = [
@@ -50,7 +51,8 @@ def _next_id(previous: DataFrame) -> Column:
 
 def _with_ids(rows: DataFrame, previous: DataFrame, key: list[str]) -> DataFrame:
     """Give every row of ``rows`` the ID its key had before, or a new one."""
-    known = lookup(rows, previous.select("id", *key), key)
+    # Written once: the rows, the bucket sizes and the positions below all read it.
+    known = materialized(lookup(rows, previous.select("id", *key), key), "known")
     fresh = number_new_keys(known.where(F.col("id").isNull()).select(*key), key, _next_id(previous))
     return lookup(known, fresh, key).withColumn("id", F.coalesce("id", "new_id")).drop("new_id")
 

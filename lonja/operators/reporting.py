@@ -114,10 +114,6 @@ def chart_series(monthly: DataFrame) -> DataFrame:
     ).orderBy("month")
 
 
-# A summary embeds the low-stock list up to this length; the complete list is a table of its own.
-EMBEDDED_PRODUCTS = 10_000
-
-
 def run_summary(
     run: dict,
     counters: dict[str, DataFrame],
@@ -130,20 +126,14 @@ def run_summary(
 ) -> DataFrame:
     """One nested row that describes a completed run, frozen with it.
 
-    The reasons are at most one per code and source. The low-stock list is embedded while it is short;
-    a longer one is only counted here (NULL list) and read from the published ``low_stock`` table.
+    The reasons are at most one per code and source. Low-stock products are counted here; the complete list
+    is the ``low_stock`` table published with the run, whatever its length.
     """
     spark = ledger.sparkSession
-    previous = metrics.months_before(as_of.replace(day=1), 1)
     reasons = rejections_by_reason(ledger).agg(
         F.array_sort(F.collect_list(F.struct("source", "reason_code", "rows"))).alias("x")
     )
-    low = metrics.low_stock_products(eligible, products, as_of).select(
-        F.struct("stock_total", (-F.col("recent_units")).alias("order"), "sku", "name", "recent_units").alias("p")
-    )
-    low_count = low.agg(F.count("*").cast("int")).scalar()
-    short = low_count <= EMBEDDED_PRODUCTS
-    listed = low.where(short).agg(F.array_sort(F.collect_list("p")).alias("x"))
+    low_count = metrics.low_stock_products(eligible, products, as_of).agg(F.count("*")).scalar()
     revenue = metrics.previous_month_sales(eligible, as_of).select(F.col("revenue").cast("string"))
     row = spark.range(1).select(
         F.lit(SUMMARY_VERSION).alias("schema_version"),
@@ -158,10 +148,9 @@ def run_summary(
         ).alias("rows"),
         reasons.scalar().alias("rejected_by_reason"),
         revenue.scalar().alias("revenue_previous_month"),
-        F.lit(previous.strftime("%Y-%m")).alias("previous_month"),
+        F.date_format(F.add_months(F.trunc(F.lit(as_of), "month"), -1), "yyyy-MM").alias("previous_month"),
         F.lit(None).cast("string").alias("currency"),
         F.lit("unconfirmed").alias("tax_basis"),
-        F.when(short, listed.scalar()).alias("_low"),
         low_count.alias("low_stock_count"),
         F.lit(threshold).alias("rejection_threshold"),
     )
@@ -172,14 +161,11 @@ def run_summary(
         {
             "products_loaded": F.col("rows.catalog_csv.products_loaded"),
             "rows_rejected": rejected,
-            "low_stock_products": F.transform(
-                "_low", lambda p: F.struct(p["sku"], p["name"], p["stock_total"], p["recent_units"])
-            ),
         }
     )
     return row.withColumn(
         "alert_required", alert_required(F.col("rows_rejected"), F.col("low_stock_count"), threshold)
-    ).drop("_low")
+    )
 
 
 def append_history(history: DataFrame, summaries: DataFrame) -> DataFrame:

@@ -17,12 +17,16 @@ VERSION = ["sku", "warehouse", "updated_at", "quantity", "reserved"]
 def validate_observations(observations: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Raw text fields with ``ord, locator`` against the accepted catalogue SKUs (``sku``).
 
+    ``excerpt`` comes with the rows, or shows the five fields.
+
     ``invalidates`` marks a bad observation of a known SKU: its total cannot be trusted. A SKU that is
     unusable or not in the catalogue is rejected before its other fields are looked at.
     """
     raw = {name: F.col(name) for name in STOCK_FIELDS}
+    if "excerpt" not in observations.columns:
+        observations = observations.withColumn("excerpt", stock_excerpt(raw))
     rows = parse(
-        observations.withColumn("excerpt", stock_excerpt(raw)),
+        observations,
         {
             "_sku": (text.identifier, raw["sku"]),
             "_warehouse": (text.identifier, raw["warehouse"]),

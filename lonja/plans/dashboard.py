@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from lonja.operators import browse, metrics, reporting
+from lonja.session import materialized
 from lonja.sources.snapshots import SnapshotStore
 from lonja.vocabulary import SALES_START
 
@@ -20,8 +21,8 @@ def dashboard(
         store.read(name, run_id) for name in ("products", "orders", "order_lines")
     )
     start = date.fromisoformat(SALES_START)
-    # Every metric reads the same rows; what does not fit in memory goes to disk.
-    eligible = metrics.eligible_lines(orders, lines, products, start, as_of).persist()
+    # Every metric reads the same rows, from the shared folder.
+    eligible = materialized(metrics.eligible_lines(orders, lines, products, start, as_of), "eligible")
     shown, _, _, _ = browse.catalog_page(products, query, category, page)
     monthly = metrics.monthly_sales(eligible, start, as_of)
     frames = {

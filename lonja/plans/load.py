@@ -8,10 +8,13 @@ stop the run, counters and digests.
 from __future__ import annotations
 
 import itertools
+import logging
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,11 @@ from lonja.vocabulary import (
 )
 
 
+log = logging.getLogger(__name__)
+#: Column of the run log with each source's digest.
+HASHES = {CATALOGUE: "csv_sha256", TARIFFS: "xml_sha256", ORDERS: "orders_sha256", STOCK: "stock_sha256"}
+
+
 class RunFailed(ValueError):
     """A run that must not publish anything."""
 
@@ -67,7 +75,12 @@ class Load:
     def __init__(self, spark: SparkSession, sources: Sources, store: SnapshotStore, zone: str):
         self.spark, self.sources, self.store, self.zone = spark, sources, store, zone
         self.run_id = str(uuid.uuid4())
-        self.ledgers: list[DataFrame] = []
+        self.base = store.current_run()
+        self.phase = "extract"
+        #: Issues known so far, by the part of the load that found them; all read staged files.
+        self.ledgers: dict[str, DataFrame] = {}
+        self.prints: dict[str, DataFrame] = {}
+        self.hashes: dict[str, str] = {}
 
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.stage(name, rows, self.run_id)
@@ -82,14 +95,24 @@ class Load:
         _stop_on(tables.structural_problems(scanned), name)
         return tables.records_of(scanned)
 
-    def fingerprints(self) -> dict[str, DataFrame]:
-        paths = {
+    def fingerprint(self, name: str) -> DataFrame:
+        """Digests of a source's files; a source that cannot be read ends the run."""
+        path = {
             CATALOGUE: self.sources.catalogue,
             TARIFFS: self.sources.tariffs,
             ORDERS: self.sources.orders,
             STOCK: self.sources.stock,
-        }
-        return {name: files.source_fingerprint(self.spark, path) for name, path in paths.items()}
+        }[name]
+        try:
+            return files.source_fingerprint(self.spark, path)
+        except AnalysisException as error:
+            code = "STOCK_FETCH_FAILED" if name == STOCK else "SOURCE_READ_FAILED"
+            raise RunFailed(code, name) from error
+
+    def remember(self, name: str) -> None:
+        """Digest of a source before it is read."""
+        self.prints[name] = self.stage(f"hash_{name}", self.fingerprint(name))
+        self.hashes[HASHES[name]] = files.source_digest(self.prints[name]).first()["sha256"]
 
     def load_tariffs(self) -> tuple[DataFrame, DataFrame]:
         path = self.sources.tariffs
@@ -111,8 +134,12 @@ class Load:
         return rules, exceptions
 
     def load_catalogue(self) -> DataFrame:
+        self.remember(CATALOGUE)
+        self.remember(TARIFFS)
         scanned = self.scan(CATALOGUE, tables.scan_catalogue(self.spark, self.sources.catalogue))
         parsed = self.stage("catalogue_parsed", catalogue.parse_catalogue(scanned))
+        # Known even if the tariffs turn out to be unusable; the settled rows replace them below.
+        self.ledgers[CATALOGUE] = explode_issues(parsed, cells_excerpt(F.col("cells")))
         rules, exceptions = self.load_tariffs()
         judge = pricing.price_judge(
             tariffs.exception_dimension(exceptions),
@@ -133,10 +160,8 @@ class Load:
             .unionByName(terms.select(plain))
             .unionByName(tariffs.orphan_exceptions(exceptions, parsed).select(plain)),
         )
-        self.ledgers += [
-            explode_issues(records, cells_excerpt(F.col("cells"))),
-            explode_issues(self.tariff_issues, _no_excerpt()),
-        ]
+        self.ledgers[CATALOGUE] = explode_issues(records, cells_excerpt(F.col("cells")))
+        self.ledgers[TARIFFS] = explode_issues(self.tariff_issues, _no_excerpt())
         self.seen = (
             parsed.where("entity is not null and (candidate or size(issues) > 0)")
             .select(F.col("entity").alias("sku"))
@@ -145,13 +170,15 @@ class Load:
         return records
 
     def load_orders(self) -> DataFrame:
+        self.remember(ORDERS)
         scanned = self.scan(ORDERS, tables.scan_orders(self.spark, self.sources.orders))
         selected = orders.select_orders(scanned, self.zone, self.keeper("orders"))
         records = self.stage("order_records", selected)
-        self.ledgers.append(explode_issues(records, order_excerpt(F.col("cells"))))
+        self.ledgers[ORDERS] = explode_issues(records, order_excerpt(F.col("cells")))
         return records
 
     def load_stock(self, accepted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        self.remember(STOCK)
         pages = stock_pages.read_pages(self.spark, self.sources.stock)
         if not stock_pages.page_problems(pages, self.sources.per_page).isEmpty():
             raise RunFailed("STOCK_FETCH_FAILED", STOCK)
@@ -162,26 +189,29 @@ class Load:
         )
         totals = self.stage("stock_totals", stock.stock_totals(records, skus))
         conflicts = stock.conflict_warnings(records)
-        self.ledgers += [
-            explode_issues(records, F.col("excerpt")),
-            explode_issues(totals, _no_excerpt()),
-            explode_issues(conflicts, _no_excerpt()),
-        ]
+        self.ledgers[STOCK] = (
+            explode_issues(records, F.col("excerpt"))
+            .unionByName(explode_issues(totals, _no_excerpt()))
+            .unionByName(explode_issues(conflicts, _no_excerpt()))
+        )
         return records, totals, conflicts
 
     def require(self, accepted: DataFrame, code: str, source: str) -> None:
         if not tables.empty_source(accepted, code).isEmpty():
             raise RunFailed(code, source)
 
-    def require_unchanged(self, before: dict[str, DataFrame]) -> None:
-        for name, after in self.fingerprints().items():
-            if not files.changed_files(before[name], after).isEmpty():
+    def require_unchanged(self) -> None:
+        for name, before in self.prints.items():
+            if not files.changed_files(before, self.fingerprint(name)).isEmpty():
                 raise RunFailed("SOURCE_CHANGED", name)
 
-    def write_ledger(self) -> DataFrame:
-        rows = self.ledgers[0]
-        for more in self.ledgers[1:]:
-            rows = rows.unionByName(more)
+    def require_base(self) -> None:
+        """The snapshot this run was built on must still be the current one."""
+        if self.store.current_run() != self.base:
+            raise RunFailed("RUN_SUPERSEDED", "etl")
+
+    def write_ledger(self, *more: DataFrame) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, [*self.ledgers.values(), *more])
         return self.store.write("ledger", rows.withColumn("run_id", F.lit(self.run_id)), self.run_id)
 
     def counted(self, name: str, counters: DataFrame) -> DataFrame:
@@ -192,7 +222,6 @@ class Load:
 
     def publish(self, started: datetime, as_of: date, threshold: int) -> dict:
         store, run_id = self.store, self.run_id
-        before = {name: self.stage(f"hash_{name}", f) for name, f in self.fingerprints().items()}
         records = self.load_catalogue()
         accepted = records.where("outcome = 'accepted'")
         self.require(accepted, "EMPTY_CATALOG", CATALOGUE)
@@ -200,21 +229,15 @@ class Load:
         headers = self.stage("order_headers", orders.order_headers(selected))
         self.require(headers, "EMPTY_ORDERS", ORDERS)
         observed, totals, conflicts = self.load_stock(accepted)
-        self.require_unchanged(before)
-
-        digests = {n: files.source_digest(f).first()["sha256"] for n, f in before.items()}
-        hashes = {
-            "csv_sha256": digests[CATALOGUE],
-            "xml_sha256": digests[TARIFFS],
-            "orders_sha256": digests[ORDERS],
-            "stock_sha256": digests[STOCK],
-        }
+        self.require_unchanged()
+
+        self.phase = "publish"
         self.store.record_run(
             run_id=run_id, started_at=started, status="running", phase="publish",
-            rules_version=RULES_VERSION, recorded_at=_now(), **hashes,
+            rules_version=RULES_VERSION, recorded_at=_now(), **self.hashes,
         )
 
-        previous = {name: store.read(name) for name in ("products", "orders", "order_lines")}
+        previous = {name: store.read(name, self.base) for name in ("products", "orders", "order_lines")}
         with_stock = accepted.join(totals.select("sku", *merge.STOCK_STATE), "sku")
         merged = self.stage("merged", merge.merge_products(previous["products"], with_stock, run_id))
         if not merge.stock_catalogue_mismatch(merged, totals).isEmpty():
@@ -222,7 +245,7 @@ class Load:
         lines = self.stage("lines", orders.order_lines(selected))
         created, created_issues = merge.create_historical_products(merged, lines, self.seen, run_id)
         created_issues = self.stage("historical_issues", created_issues)
-        self.ledgers.append(explode_issues(created_issues, _no_excerpt()))
+        self.ledgers["created"] = explode_issues(created_issues, _no_excerpt())
         products = store.write(
             "products",
             merge.touch_products(merged, lines, run_id).unionByName(created), run_id,
@@ -260,16 +283,20 @@ class Load:
             F.to_json(F.struct("rows.*")).alias("counters"),
             F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"}).alias("summary"),
         ).first()
+        self.require_base()
         # The commit: from this row on the new version is the current one.
         store.record_run(
             run_id=run_id, started_at=started, finished_at=finished, status="completed",
             phase="publish", rules_version=RULES_VERSION, counters=texts["counters"],
-            summary=texts["summary"], recorded_at=_now(), **hashes,
+            summary=texts["summary"], recorded_at=_now(), **self.hashes,
         )
         return {"run_id": run_id, "counters": texts["counters"], "summary": texts["summary"]}
 
     def fail(self, started: datetime, code: str, source: str, locator: str) -> None:
-        """Keep what is known about the failed run; the previous snapshot stays current."""
+        """Keep what is known about the failed run; the previous snapshot stays current.
+
+        If the known issues cannot be written, the failure alone is; nothing here hides the first error.
+        """
         entry = self.spark.range(1).select(
             F.lit(source).alias("source"), F.lit(locator).alias("record_locator"),
             F.lit(None).cast("string").alias("entity_key"), F.lit(code).alias("reason_code"),
@@ -277,12 +304,19 @@ class Load:
             F.lit(f"Ejecución fallida: {code}").alias("detail"),
             F.lit(None).cast("string").alias("raw_excerpt"),
         )
-        self.ledgers.append(entry)
-        self.write_ledger()
-        self.store.record_run(
-            run_id=self.run_id, started_at=started, finished_at=_now(), status="failed",
-            phase="extract", error_code=code, rules_version=RULES_VERSION, recorded_at=_now(),
-        )
+        try:
+            try:
+                self.write_ledger(entry)
+            except Exception:
+                log.exception("the issues of run %s cannot be written", self.run_id)
+                self.ledgers.clear()
+                self.write_ledger(entry)
+            self.store.record_run(
+                run_id=self.run_id, started_at=started, finished_at=_now(), status="failed",
+                phase=self.phase, error_code=code, rules_version=RULES_VERSION, recorded_at=_now(), **self.hashes,
+            )
+        except Exception:
+            log.exception("the failure of run %s (%s) cannot be recorded", self.run_id, code)
 
 
 def _now() -> datetime:

@@ -34,7 +34,7 @@ from lonja.operators.issues import (
 )
 from lonja.plans import samples
 from lonja.plans.samples import AS_OF, PAGE, START, table
-from lonja.session import materialized, spread, tune, work_folder
+from lonja.session import materialized, tune, work_folder
 from lonja.sources import files, stock_pages, tables
 from lonja.sources import tariffs as tariff_files
 from lonja.sources.snapshots import SCHEMAS, SnapshotStore, latest_states
@@ -182,7 +182,10 @@ def _landed_pages(spark, pages: DataFrame) -> DataFrame:
         count.alias("total_pages"), ((F.col("page") < count) != F.col("wrong_next")).alias("has_next"),
     )
     path = work_folder(spark, "stock-pages")
-    pages.select(F.to_json(F.struct("data", meta.alias("meta")))).write.text(path)
+    written = dict(pages.dtypes)["data"] == "array<string>"  # records that are JSON text already
+    data = F.concat(F.lit("["), F.array_join("data", ","), F.lit("]")) if written else F.to_json("data")
+    page = F.concat(F.lit('{"data":'), data, F.lit(',"meta":'), F.to_json(meta), F.lit("}"))
+    pages.select(page).write.text(path)
     return stock_pages.read_pages(spark, path, multi_line=False)
 
 
@@ -251,7 +254,7 @@ def _cleaned(rows: DataFrame, key: str, column: str, parser: Parser) -> DataFram
 
 
 def _document_digest(spark, folder, parser: Parser) -> DataFrame:
-    rows = parse(spread(table(spark, folder, "documents")), {"t": (parser, F.col("text"))})
+    rows = parse(table(spark, folder, "documents"), {"t": (parser, F.col("text"))})
     return rows.select("doc_id", F.md5("t").alias("digest"), F.length("t").alias("n_chars"))
 
 
@@ -469,12 +472,37 @@ def _records(spark, folder) -> dict[str, DataFrame]:
     }
 
 
+def _terms(spark, folder) -> DataFrame:
+    conditions = table(spark, folder, "customer").select(
+        F.concat(F.lit("/TarifasProveedor/Condiciones/*["), F.col("c_custkey") + 1, F.lit("]")).alias("locator"),
+        F.lit(None).cast("string").alias("entity"),
+    )
+    return tariffs.unapplied_terms(conditions, tariff_files.volume_terms(_valid_rules(spark, folder)))
+
+
+def _tariff_issues(spark, folder) -> DataFrame:
+    """Repeated rules and exceptions, unusable agreed prices, terms never applied, exceptions without a product."""
+    plain = ["source", "locator", "entity", "issues"]
+    exceptions = _kept_exceptions(spark, folder)
+    frames = [
+        tariffs.deduplicate_rules(_valid_rules(spark, folder)), exceptions, _terms(spark, folder),
+        tariffs.orphan_exceptions(exceptions, _parsed_catalogue(spark, folder)),
+    ]
+    return reduce(DataFrame.unionByName, [frame.select(plain) for frame in frames])
+
+
+def _created_issues(spark, folder, selected: DataFrame) -> DataFrame:
+    seen = table(spark, folder, "part").select(F.concat(F.lit("PRV-"), "p_partkey").alias("sku"))
+    lines = orders.order_lines(selected)
+    return merge.create_historical_products(_previous_products(spark, folder), lines, seen, "run-2")[1]
+
+
 def _ledger(spark, folder, records: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Issues of all three record sources with the issues that belong to no row."""
+    """Issues of all sources: of their rows, of tariff elements, and those that belong to no row."""
     if records is None:
         records = {
             CATALOGUE: _selected_catalogue(spark, folder),
-            ORDERS: _selected_orders(spark, folder),
+            ORDERS: materialized(_selected_orders(spark, folder)),
             STOCK: materialized(_reconciled_stock(spark, folder)),
         }
     reconciled = records[STOCK]
@@ -488,6 +516,8 @@ def _ledger(spark, folder, records: dict[str, DataFrame] | None = None) -> DataF
             explode_issues(reconciled, F.col("excerpt")),
             explode_issues(totals, nothing),
             explode_issues(stock.conflict_warnings(reconciled), nothing),
+            explode_issues(_tariff_issues(spark, folder), nothing),
+            explode_issues(_created_issues(spark, folder, records[ORDERS]), nothing),
         ],
     )
 
@@ -511,10 +541,26 @@ def bounded_excerpt(spark, folder):
     rows = samples.catalogue_rows(spark, folder).select(
         F.lit(CATALOGUE).alias("source"), "locator", cells_excerpt(F.col("cells")).alias("excerpt")
     )
+    # Numbers, truth values, lists and records that are no objects, as the pages have them.
+    def odd(text, i):
+        return (
+            F.when(i % 11 == 1, F.regexp_replace(text, r'"quantity":"([0-9]+)"', '"quantity":$1.0'))
+            .when(i % 11 == 2, F.regexp_replace(text, r'"reserved":"[^"]*"', '"reserved":true'))
+            .when(i % 11 == 3, F.regexp_replace(text, r'"warehouse":"[^"]*"', '"warehouse":[1]'))
+            .when(i % 11 == 4, F.lit("[7]"))
+            .when(i % 11 == 5, F.regexp_replace(text, r'"quantity":"([0-9]+)"', '"quantity":$1e3'))
+            .otherwise(text)
+        )
+
+    records = _pages(spark, folder).withColumn("wrong_next", F.lit(False))
+    texts = F.transform(F.transform("data", lambda r: F.to_json(r)), odd)
+    observed = stock_pages.scan_snapshot(_landed_pages(spark, records.withColumn("data", texts))).select(
+        F.lit(STOCK).alias("source"), "locator", "excerpt"
+    )
     lines = samples.order_rows(spark, folder).select(
         F.lit(ORDERS).alias("source"), "locator", order_excerpt(F.col("cells")).alias("excerpt")
     )
-    return rows.unionByName(lines).withColumn("n_chars", F.length("excerpt"))
+    return rows.unionByName(lines).unionByName(observed).withColumn("n_chars", F.length("excerpt"))
 
 
 # --- tariffs ---------------------------------------------------------------------------------------
@@ -555,12 +601,7 @@ def tariff_exception_dedup(spark, folder):
 
 @query
 def unapplied_terms(spark, folder):
-    conditions = table(spark, folder, "customer").select(
-        F.concat(F.lit("/TarifasProveedor/Condiciones/*["), F.col("c_custkey") + 1, F.lit("]")).alias("locator"),
-        F.lit(None).cast("string").alias("entity"),
-    )
-    volumes = tariff_files.volume_terms(_valid_rules(spark, folder))
-    return _issue_rows(tariffs.unapplied_terms(conditions, volumes), "locator", "entity")
+    return _issue_rows(_terms(spark, folder), "locator", "entity")
 
 
 @query
@@ -996,9 +1037,7 @@ def _catalog_counters(spark, folder, selected: DataFrame) -> DataFrame:
 
 
 def _order_counters(spark, folder, selected: DataFrame) -> DataFrame:
-    lines = orders.order_lines(selected)
-    seen = table(spark, folder, "part").select(F.concat(F.lit("PRV-"), "p_partkey").alias("sku"))
-    _, created = merge.create_historical_products(_previous_products(spark, folder), lines, seen, "run-2")
+    created = _created_issues(spark, folder, selected)
     return reporting.orders_counters(selected, orders.order_headers(selected), created)
 
 
@@ -1063,7 +1102,6 @@ def run_summary(spark, folder):
     return row.select(
         "schema_version", "run_id", "as_of", "products_loaded", "rows_rejected", "revenue_previous_month", "previous_month",
         "low_stock_count", "rejection_threshold", "alert_required", F.size("rejected_by_reason").alias("n_reasons"),
-        F.get("low_stock_products", F.lit(0))["sku"].alias("first_low_sku"),
         F.col("rows.orders_csv.orders_loaded").alias("orders_loaded"),
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lonja.functions.numbers import MONEY, RATIO
-from lonja.session import spread
 from lonja.vocabulary import CATALOGUE_COLUMNS, ORDER_COLUMNS
 
 START = date(1995, 4, 1)
@@ -203,7 +202,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _run(spark: SparkSession, folder: str, sql: str, first: str, *others: str) -> DataFrame:
     """Run a SELECT over the given tables; the rows of the first one are what the work is done on."""
     frames = {name: table(spark, folder, name) for name in others}
-    return spark.sql(sql, **{first: spread(table(spark, folder, first))}, **frames)
+    return spark.sql(sql, **{first: table(spark, folder, first)}, **frames)
 
 
 def _cells(rows: DataFrame, names: list[str]) -> DataFrame:

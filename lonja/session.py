@@ -70,9 +70,3 @@ def materialized(df: DataFrame, purpose: str = "stage") -> DataFrame:
     path = work_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a small source has fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

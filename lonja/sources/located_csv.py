@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import csv
 import re
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,7 +23,9 @@ from lonja.sources.files import BLOCK, MAX_TASKS, list_files, open_file
 
 CHUNK = 32 << 20
 ROWS_PER_BATCH = 5_000
-FILE_SHIFT = 40
+# Order of a record: number of its file times more than any position in a file, plus its position.
+POSITIONS = Decimal(2**63)
+ORD = "decimal(38,0)"
 BOM = b"\xef\xbb\xbf"
 
 PROBE = pa.schema(
@@ -232,7 +235,7 @@ def read_located_csv(
     if not totals["files"]:
         # Spark lists no empty files; a source without any content has no header either.
         return spark.range(1).selectExpr(
-            "id as ord", "'1' as locator", "1L as start_line", "1L as end_line",
+            f"cast(id as {ORD}) as ord", "'1' as locator", "1L as start_line", "1L as end_line",
             "cast(null as array<string>) as cells", "'INVALID_HEADER' as problem",
         )
     tasks = max(1, min(MAX_TASKS, totals["chunks"]))
@@ -261,7 +264,7 @@ def read_located_csv(
     ).otherwise(F.concat_ws("-", "start_line", "end_line"))
     name = F.element_at(F.split("path", "/"), -1)
     return records.join(numbered.select("path", "file"), "path").select(
-        (F.shiftleft(F.col("file").cast("bigint"), FILE_SHIFT) + F.col("position")).alias("ord"),
+        (F.col("file").cast("decimal(18,0)") * F.lit(POSITIONS) + F.col("position")).cast(ORD).alias("ord"),
         (F.concat_ws(":", name, line) if totals["files"] > 1 else line).alias("locator"),
         "start_line",
         "end_line",

@@ -68,22 +68,34 @@ class SnapshotStore:
         self.root = root.rstrip("/")
 
     def _read(self, path: str, table: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[table]).parquet(path)
+
+    def _exists(self, path: str) -> bool:
         try:
-            return self.spark.read.schema(SCHEMAS[table]).parquet(path)
+            self.spark.read.format("binaryFile").load(path).select("path").isEmpty()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            return False
+        return True
 
     def runs(self) -> DataFrame:
-        return latest_states(self._read(f"{self.root}/runs", "runs"))
+        """The last state of every run; empty in a new store only."""
+        if self._exists(f"{self.root}/runs"):
+            return latest_states(self._read(f"{self.root}/runs", "runs"))
+        if self._exists(f"{self.root}/products") or self._exists(f"{self.root}/ledger"):
+            raise FileNotFoundError(f"the run log of the store {self.root} is lost")
+        return latest_states(self.spark.createDataFrame([], SCHEMAS["runs"]))
 
     def current_run(self) -> str | None:
         row = latest_publication(self.runs()).select("run_id").first()
         return row["run_id"] if row else None
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
-        """A business table as published by a run, by default by the current one."""
+        """A business table as published by a run, by default by the current one.
+
+        Empty only if nothing was ever published; a version whose folder is lost is an error.
+        """
         run_id = run_id or self.current_run()
         if run_id is None:
             return self.spark.createDataFrame([], SCHEMAS[table])

@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lonja.operators.grouping import attach_group
+from lonja.session import materialized
 
 RULE_SCHEMA = "_tipo string, _valor string, PorcentajeBase array<string>, PorVolumen array<string>, xs_any array<string>"
 EXCEPTION_SCHEMA = (
     "_sku string, PrecioNetoAcordado array<string>, AplicaDescuentoAdicional array<string>, xs_any array<string>"
 )
 ROOT = "/TarifasProveedor"
+DOCUMENT_SHIFT = 40
 
 
 def _elements(spark: SparkSession, path: str, tag: str, schema: str, section: str) -> DataFrame:
-    """Elements of one tag with their position in the document."""
+    """Elements of one tag in the order of the documents' paths and of their positions in them."""
     rows = (
         spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
         .select("*", F.col("_metadata.file_path").alias("_file"))
         .withColumn("_row", F.monotonically_increasing_id())
     )
-    # A document is read in order by one task; a file's first row number is its offset.
-    rows = attach_group(rows, ["_file"], F.min("_row").alias("_first"))
-    index = (F.col("_row") - F.col("_first") + 1).cast("string")
+    # Parsed once, with all columns: a plan that needs fewer of them would count the others as strange children.
+    rows = materialized(rows, "tariff-elements")
+    # A document is read in order by one task, so its row numbers ascend. One small row per document here.
+    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
+    files = files.withColumn("_document", F.row_number().over(Window.orderBy("_file")) - 1)
+    rows = rows.join(files, "_file")
+    index = F.col("_row") - F.col("_first") + 1
     return rows.withColumns(
         {
-            "ord": F.col("_row"),
-            "locator": F.concat(F.lit(f"{ROOT}/{section}/{tag}["), index, F.lit("]")),
+            "ord": F.shiftleft(F.col("_document").cast("bigint"), DOCUMENT_SHIFT) + index,
+            "locator": F.concat(F.lit(f"{ROOT}/{section}/{tag}["), index.cast("string"), F.lit("]")),
         }
     )
 

@@ -43,7 +43,7 @@ MAX_CUSTOMER = 255
 EXCERPT = 512
 LINE_KEY_VERSION = "order-line-v1"
 RULES_VERSION = "catalog-stock-orders-v3"
-SUMMARY_VERSION = "etl-summary-v1"
+SUMMARY_VERSION = "etl-summary-v2"
 SALES_START = "2025-04-01"
 BUSINESS_ZONE = "Europe/Madrid"
 LOW_STOCK = 5

@@ -126,8 +126,8 @@ def page(number, rows, total, size=2, **meta):
     return {"data": rows, "meta": body | meta}
 
 
-def stock(sku, quantity=5):
-    return {"sku": sku, "warehouse": "MAD", "quantity": quantity, "reserved": 2, "updated_at": "2026-01-01T00:00:00Z"}
+def stock(sku, quantity=31):
+    return {"sku": sku, "warehouse": "north-2", "quantity": quantity, "reserved": 0, "updated_at": "2024-06-30T12:00:00+02:00"}
 
 
 def problems(spark, folder, pages):
@@ -139,11 +139,11 @@ def problems(spark, folder, pages):
 
 
 def test_stock_pages(spark, tmp_path):
-    good = [page(1, [stock("A"), stock(7)], 3), page(2, [stock("B", "2.50")], 3)]
+    good = [page(1, [stock("cup"), stock(12)], 3), page(2, [stock("pot", "4.250")], 3)]
     assert problems(spark, tmp_path / "good", good) == []
     rows = stock_pages.scan_snapshot(stock_pages.read_pages(spark, str(tmp_path / "good"))).orderBy("ord").collect()
     assert [(r.locator, r.sku, r.quantity) for r in rows] == [
-        ("page:1/row:1", "A", "5"), ("page:1/row:2", None, "5"), ("page:2/row:1", "B", "2.50")]
+        ("page:1/row:1", "cup", "31"), ("page:1/row:2", None, "31"), ("page:2/row:1", "pot", "4.250")]
     assert problems(spark, tmp_path / "empty", [page(1, [], 0)]) == []
     assert problems(spark, tmp_path / "short", good[:1]) == ["incomplete snapshot"]
     assert "repeated page" in problems(spark, tmp_path / "repeat", [page(1, [stock("A")] * 2, 4), page(2, [stock("A")] * 2, 4)])
@@ -152,14 +152,43 @@ def test_stock_pages(spark, tmp_path):
     assert "incomplete snapshot" in problems(spark, tmp_path / "total", [page(1, [stock("A")] * 2, 3), page(2, [stock("B")], 4)])
 
 
-def test_exact_numbers_and_filter(spark, tmp_path):
-    text = '{"data": [{"sku": "A", "warehouse": "M", "quantity": 9223372036854775807, "reserved": true, "updated_at": "2026-01-02T00:00:00Z"}, 5], "meta": {"page": 1, "per_page": 2, "total_records": 2, "total_pages": 1, "has_next": false}}'
-    (tmp_path / "p.json").write_text(text)
-    rows = stock_pages.scan_snapshot(stock_pages.read_pages(spark, str(tmp_path / "p.json"))).orderBy("ord").collect()
-    assert (rows[0].quantity, rows[0].reserved) == ("9223372036854775807", "true") and rows[1].sku is None
-    frame = spark.createDataFrame([("2026-01-02T00:00:00Z",), ("x",), ("2025-01-01T00:00:00Z",)], "updated_at string")
-    assert stock_pages.changed_since(frame, "2026-01-01").count() == 1
-    assert stock_pages.changed_since(frame, "never").count() == 3
+def test_numbers_stay_as_written(spark, tmp_path):
+    records = [
+        '{"sku": "a\\"1,2", "warehouse": "w", "quantity": 9223372036854775807, "reserved": true, "updated_at": "x"}',
+        '{"sku": "b", "warehouse": 3, "quantity": 1e3, "reserved": 4.0, "updated_at": null}',
+        '{"sku": "c", "warehouse": "5e1", "quantity": 25e-1, "reserved": 1.5E1, "updated_at": {"at": 6}}',
+        '{"sku": "d", "quantity": 0.00000012e-1, "reserved": [7], "updated_at": "2:3"}', "8", "[9]", "true", "null", '"text"', "2.5",
+    ]
+    meta = f'{{"page": 1, "per_page": 10, "total_records": {len(records)}, "total_pages": 1, "has_next": false}}'
+    (tmp_path / "p.json").write_text('{"data": [' + ", ".join(records) + '], "meta": ' + meta + "}")
+    pages = stock_pages.read_pages(spark, str(tmp_path / "p.json"))
+    assert stock_pages.page_problems(pages, 10).count() == 0
+    rows = stock_pages.scan_snapshot(pages).orderBy("ord").collect()
+    assert [(r.sku, r.warehouse, r.quantity, r.reserved, r.updated_at) for r in rows[:4]] == [
+        ('a"1,2', "w", "9223372036854775807", None, "x"), ("b", None, "1E+3", "4.0", None), ("c", "5e1", "2.5", "15", None),
+        ("d", None, "1.2E-8", None, "2:3")]
+    assert rows[0].excerpt == r'{"sku": "a\"1,2", "warehouse": "w", "quantity": "9223372036854775807", "reserved": "True", "updated_at": "x"}'
+    assert rows[1].excerpt == '{"sku": "b", "warehouse": "3", "quantity": "1E+3", "reserved": "4.0", "updated_at": null}'
+    assert '"updated_at": "[tipo inválido]"' in rows[2].excerpt and '"warehouse": null' in rows[3].excerpt
+    assert [r.excerpt.rsplit(" ", 1)[1] for r in rows[4:]] == ["int", "list", "bool", "NoneType", "str", "Decimal"]
+    assert all(r.sku is None for r in rows[4:])
+
+
+def test_filter_by_time(spark):
+    frame = spark.createDataFrame([("2024-07-01T00:00:00Z",), ("soon",), ("2024-06-30T23:59:59Z",)], "updated_at string")
+    assert stock_pages.changed_since(frame, "2024-07-01").count() == 1
+    assert stock_pages.changed_since(frame, "whenever").count() == 3
+
+
+def test_rules_of_several_documents(spark, tmp_path):
+    """The order is that of the paths, not of the sizes; elements that a plan does not need are no strangers."""
+    for name, label, count in (("c", "three", 1), ("a", "one", 2), ("b", "two", 40)):
+        rules = "".join(
+            f'<Descuento tipo="marca" valor="{label} {i}"><PorcentajeBase>{i}</PorcentajeBase><PorVolumen>v</PorVolumen></Descuento>' for i in range(count))
+        (tmp_path / f"{name}.xml").write_text(f"<TarifasProveedor><Descuentos>{rules}</Descuentos><Excepciones/></TarifasProveedor>")
+    rules = tariffs.scan_rules(spark, str(tmp_path))
+    assert [r.label for r in rules.orderBy("ord").collect()] == ["one 0", "one 1", *[f"two {i}" for i in range(40)], "three 0"]
+    assert rules.select("other_children").distinct().collect()[0][0] == 0
 
 
 def test_fingerprint(spark, tmp_path):
