@@ -74,7 +74,8 @@ ORACLE["attach_provenance"] = (
     f"SELECT 'catalog_csv' AS source, v AS entity, {long(LINES, 'n_lines')}, {LINES} > 1 AS is_range FROM {b.p_identifier(CATALOGUE_TEXTS, 'sku', 'v')}"
 )
 ORACLE["source_fingerprint"] = (
-    f"SELECT {long('sum(strlen(text) + 1)', 'n_bytes')}, {small('64', 'digest_length')}, {long('0', 'changed')} FROM documents"
+    "SELECT part, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256, "
+    "CAST(0 AS BIGINT) AS changed FROM (SELECT doc_id // 500 AS part, doc_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS line FROM documents) GROUP BY part"
 )
 ORACLE["empty_source_guard"] = "SELECT 'EMPTY_CATALOG' AS problem, 'none' AS rows_found"
 
