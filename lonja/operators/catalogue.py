@@ -36,6 +36,20 @@ FIELD_PARSERS = {
 OPTIONAL = ["ean", "iva", "peso_kg", "fecha_alta"]
 
 
+def _wrong_count() -> Column:
+    return issue(CATALOGUE, "INVALID_COLUMN_COUNT", REJECT, None, DETAIL["column_count"])
+
+
+def column_counts(scanned: DataFrame) -> DataFrame:
+    """Rows of raw cells with a wrong number of them: ``ord, locator, cells, entity, issues``.
+
+    Needs the parser of the identifier only, and of these rows only.
+    """
+    wrong = scanned.where(F.size("cells") != len(CATALOGUE_COLUMNS))
+    rows = parse(wrong, {"_sku": (FIELD_PARSERS["sku"], F.get("cells", F.lit(CATALOGUE_COLUMNS.index("sku"))))})
+    return rows.withColumns({"entity": F.col("_sku.value"), "issues": F.array(_wrong_count())}).drop("_sku")
+
+
 def parse_catalogue(scanned: DataFrame) -> DataFrame:
     """Validate rows of raw cells (``ord, locator, cells``).
 
@@ -72,12 +86,7 @@ def parse_catalogue(scanned: DataFrame) -> DataFrame:
     rows = rows.withColumn("candidate", good)
 
     cost = F.col("_precio_coste")
-    entries = [
-        (
-            ~F.col("_aligned"),
-            issue(CATALOGUE, "INVALID_COLUMN_COUNT", REJECT, None, DETAIL["column_count"]),
-        )
-    ]
+    entries = [(~F.col("_aligned"), _wrong_count())]
     for name, problem, detail in required:
         entries.append(
             (

@@ -396,8 +396,7 @@ def _issue_rows(records: DataFrame, *keys: str) -> DataFrame:
 
 @query
 def validate_column_count(spark, folder):
-    rows = _issue_rows(_parsed_catalogue(spark, folder), "ord", "entity")
-    return rows.where("code = 'INVALID_COLUMN_COUNT'")
+    return _issue_rows(catalogue.column_counts(samples.catalogue_rows(spark, folder)), "ord", "entity")
 
 
 @query
