@@ -8,6 +8,8 @@ path separators, and the words beside it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -29,8 +31,8 @@ _NAMED = rf"""^(?i:{NAMES})["']?\x20?[:=]\x20?["']?(.+)$"""
 PREFIXED = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9-]{20,}|AIza[A-Za-z0-9_-]{35})$"
 #: Words that a harmless long value often stands beside.
 HARMLESS = "example|sample|dummy|placeholder|test|sha1|sha256|md5|checksum|digest|commit|revision|uuid|guid|isbn|version"
-#: A word counts as known if the corpus holds it this often.
-KNOWN = 20
+#: A word counts as known if it is this share of the corpus's words.
+KNOWN = 2e-6
 #: Most findings of each label that the forest is trained on.
 SAMPLE = 20_000
 TREES, DEPTH, SEED = 24, 6, 11
@@ -73,11 +75,13 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def known_words(docs: DataFrame, text: str = "text", least: int = KNOWN) -> DataFrame:
-    """``word``: the words of three to sixteen ASCII letters that occur at least ``least`` times in all texts."""
+def known_words(docs: DataFrame, text: str = "text", share: float = KNOWN) -> DataFrame:
+    """``word``: the words of three to sixteen ASCII letters that make at least ``share`` of such words, and two."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^a-z]++")).alias("word"))
     words = words.where(F.length("word").between(3, 16))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("word")
+    counts = materialized(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") >= max(2, math.ceil(share * total))).select("word")
 
 
 def with_coverage(found: DataFrame, words: DataFrame) -> DataFrame:
