@@ -77,8 +77,9 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def known_words(docs: DataFrame, text: str = "text", share: float = KNOWN) -> DataFrame:
     """``word``: the words of three to sixteen ASCII letters that make at least ``share`` of such words, and two."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^a-z]++")).alias("word"))
-    words = words.where(F.length("word").between(3, 16))
+    # Letters between digits, as in hexadecimal text, are no words.
+    words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^a-z0-9]++")).alias("word"))
+    words = words.where(F.col("word").rlike("^[a-z]{3,16}$"))
     counts = materialized(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.where(F.col("n") >= max(2, math.ceil(share * total))).select("word")
