@@ -200,6 +200,7 @@ def _large_groups(texts: DataFrame, length: int) -> DataFrame:
 
     rows = materialized(texts.select("run", "n", "text").mapInArrow(strings, "run long, low long, mark binary"), "strings")
     often = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("mark")
+    often = materialized(often, "marks")
     return rows.join(often, "mark", "left_semi").select("run", "low", (F.col("low") + 1).alias("high"))
 
 
@@ -249,13 +250,16 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     small_batches(docs.sparkSession)
     rows = docs.select(*row_key(doc_id, text), F.col(text).alias("text"))
     counts = _runs(rows, length, gram, False).groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
-    runs = _runs(rows, length, gram, True).join(counts.where("times > 1").select("anchor"), "anchor", "left_semi")
+    # Written out, so that both sides of the join pass an exchange and a hot anchor can be split.
+    often = materialized(counts.where("times > 1").select("anchor"), "anchors")
+    runs = _runs(rows, length, gram, True).join(often, "anchor", "left_semi")
     runs = materialized(runs, "runs")
     unique = runs.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("did", "tag", "start", "n")).alias("place"))
     unique = materialized(unique.withColumn("run", F.monotonically_increasing_id()), "unique-runs")
     groups = unique.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.min("times").alias("least"))
     groups = groups.where("different > 1 AND least = 1").select("anchor", (F.col("different") > large).alias("large"))
+    groups = materialized(groups, "groups")
     wanted = unique.join(groups, "anchor").select("anchor", "large", "run", "place.*")
     frames = packed(rows, "text", "frame")
     texts = materialized(_texts(frames, wanted, length), "texts")
