@@ -275,6 +275,8 @@ class NearJoin:
         """``key, node`` of the band buckets with two or more classes, and each bucket's ``leader``."""
         keys = self.classes.select("node", F.explode("bands").alias("key"))
         leaders = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
+        # Written out, so that both sides of the join pass an exchange and a hot bucket can be split.
+        leaders = materialized(leaders, "leaders")
         return materialized(keys.join(leaders, "key").select("key", "node", "leader", "n"), "buckets")
 
     def _frames(self) -> DataFrame:
@@ -319,7 +321,7 @@ class NearJoin:
         for depth in range(DEPTH):
             counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
             # The one pair of a bucket of two was a star pair.
-            counts = counts.where("x <> y AND n > 2").select("key", "n")
+            counts = materialized(counts.where("x <> y AND n > 2").select("key", "n"), "open-buckets")
             rows = materialized(rows.join(counts, "key"), "open")
             last = depth == DEPTH - 1
             few = rows.where(F.col("n") <= FEW)
@@ -345,7 +347,7 @@ class NearJoin:
 
     def links(self, labels: DataFrame) -> DataFrame:
         """``node, links``: documents linked to each class, other classes only."""
-        sizes = labels.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+        sizes = materialized(labels.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")), "sizes")
         rows = labels.join(sizes, "component").join(self.frames, "node").join(self.classes.select("node", "size"), "node")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         blocks = rows.groupBy("component", "block").agg(F.collect_list(F.struct("node", "size", "frame")).alias("items"))
