@@ -257,7 +257,7 @@ def _cleaned(rows: DataFrame, key: str, column: str, parser: Parser) -> DataFram
 
 
 def _document_digest(spark, folder, parser: Parser) -> DataFrame:
-    rows = parse(table(spark, folder, "documents"), {"t": (parser, F.col("text"))})
+    rows = parse(table(spark, folder, "documents").hint("rebalance"), {"t": (parser, F.col("text"))})
     return rows.select("doc_id", F.md5("t").alias("digest"), F.length("t").alias("n_chars"))
 
 

@@ -202,7 +202,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _run(spark: SparkSession, folder: str, sql: str, first: str, *others: str) -> DataFrame:
     """Run a SELECT over the given tables; the rows of the first one are what the work is done on."""
     frames = {name: table(spark, folder, name) for name in others}
-    return spark.sql(sql, **{first: table(spark, folder, first)}, **frames)
+    # Rows that are cheap to move and dear to parse, from files that Spark may not be able to split.
+    return spark.sql(sql, **{first: table(spark, folder, first).hint("rebalance")}, **frames)
 
 
 def _cells(rows: DataFrame, names: list[str]) -> DataFrame:
