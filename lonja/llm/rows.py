@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_SPACE = r"[\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -77,7 +74,3 @@ def rows_by_bytes(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterat
         total += int(size)
     if start < batch.num_rows:
         yield start, batch.num_rows
-
-
-def single_thread() -> None:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
