@@ -60,7 +60,7 @@ def sketch_distance(threshold: float) -> int:
 
 
 def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, did, tag, cls, grams, bands, sketch``: class digest, number of n-grams and hashes of each text."""
+    """``doc_id, did, tag, cls, grams, bands, sketch``: class digest, number of distinct n-grams and hashes of each text."""
     multiply = (stream(2, bands * rows) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     add = (stream(3, bands * rows) >> np.uint64(32)).astype(np.uint32)
     fold = stream(4, rows)
@@ -80,7 +80,8 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
                 part = batch.slice(start, stop - start)
                 data, at = byte_column(lowered(part.column(3)))
                 hashes, word_at = hasher.words(data, at)
-                grams, gram_at = shingles(hashes, word_at, words)
+                # The sizes of the sets: repeats of an n-gram do not count.
+                grams, _, gram_at = unique_in_rows(*shingles(hashes, word_at, words))
                 digests = [
                     xxhash.xxh3_128_digest(hashes[a:b].tobytes()) for a, b in zip(word_at[:-1], word_at[1:], strict=True)
                 ]

@@ -155,3 +155,12 @@ def test_near_join_in_large_buckets(spark, monkeypatch, few, split):
         names = [min([names[a], *(names[b] for b in range(len(texts)) if linked[a][b])]) for a in range(len(texts))]
     rows = near_join.near_duplicates(docs).orderBy("doc_id").collect()
     assert [(r.class_id, r.n_links) for r in rows] == [(names[a], sum(linked[a])) for a in range(len(texts))]
+
+
+def test_near_join_of_repeated_passages(spark):
+    """Similarity is that of sets: a text and its doubling, and a page with one line repeated many times."""
+    passage = " ".join(f"w{i}" for i in range(200))
+    page = " ".join(f"p{i}" for i in range(300))
+    docs = [(1, passage), (2, f"{passage} {passage}"), (3, page), (4, page + " a line found on every page" * 100)]
+    rows = near_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.class_id, r.n_links) for r in rows] == [(1, 1), (1, 1), (3, 1), (3, 1)]
