@@ -8,8 +8,8 @@
    MinHash values) differ in more bits than six standard deviations above those of a pair at the threshold.
 3. Buckets whose members all ended in one verified component are settled. In the others, members of
    different components are compared as well: by pairs in a small bucket, block by block in a larger one, of
-   which only a spanning forest of links comes out. A bucket too large for that is first split by each
-   further band, in which similar texts meet again with nearly the same recall.
+   which only a spanning forest of links comes out. No bucket is too large for that; the largest are compared
+   last, if the links from the others have not settled them.
 4. Within a component every pair of classes is compared exactly, block by block, to count links.
 """
 
@@ -33,11 +33,10 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MOST_HASHES = 304
 SKETCH = 256
-#: Classes of different components are paired in buckets up to FEW, compared in blocks in buckets up to SPLIT;
-#: larger buckets are split, at most DEPTH - 1 times.
+#: Classes of different components are paired in buckets up to FEW and compared in blocks in larger ones. Buckets
+#: above SPLIT come last, as the links found in the others may have settled them.
 FEW = 12
 SPLIT = 8192
-DEPTH = 3
 #: Classes in one block of an exact comparison.
 BLOCK = 512
 
@@ -311,40 +310,33 @@ class NearJoin:
         stars = self.buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         edges = self._verified(stars)
         labels = components(edges)
-        more = materialized(self._open_links(labels), "open-links")
-        return labels if more.isEmpty() else components(edges.union(more))
-
-    def _open_links(self, labels: DataFrame) -> DataFrame:
-        """Links between classes of different components in one bucket, as many as connect the components."""
+        # The one pair of a bucket of two was a star pair.
+        for sizes in (F.col("n").between(3, SPLIT), F.col("n") > F.greatest(F.lit(SPLIT), F.lit(2))):
+            rows = self.buckets.where(sizes).select("key", "node")
+            if rows.isEmpty():
+                continue
+            more = materialized(self._open_links(rows, labels), "open-links")
+            if not more.isEmpty():
+                edges = edges.union(more)
+                labels = components(edges)
+        return labels
+
+    def _open_links(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links between classes of different components in one bucket of ``key, node``, as many as connect the components."""
         own = F.coalesce("component", "node").alias("component")
-        rows = self.buckets.select("key", "node").join(labels, "node", "left").select("key", "node", own, F.lit(-1).alias("band"))
-        pairs, found = None, None
-        for depth in range(DEPTH):
-            counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-            # The one pair of a bucket of two was a star pair.
-            counts = materialized(counts.where("x <> y AND n > 2").select("key", "n"), "open-buckets")
-            rows = materialized(rows.join(counts, "key"), "open")
-            last = depth == DEPTH - 1
-            few = rows.where(F.col("n") <= FEW)
-            a = few.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-            b = few.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-            some = a.join(b, "key").where("a < b AND ca <> cb").select("a", "b")
-            pairs = some if pairs is None else pairs.union(some)
-            middle = rows.where((F.col("n") > FEW) & (F.lit(last) | (F.col("n") <= SPLIT)))
-            blocks = middle.join(self.frames, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(BLOCK))))
-            blocks = blocks.groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "frame")).alias("items"))
-            links = _block_pairs(blocks, "key").mapInArrow(_block_edges(self.words, self.threshold), "a long, b long")
-            found = links if found is None else found.union(links)
-            large = rows.where(F.col("n") > SPLIT)
-            if last or large.isEmpty():
-                break
-            # Split by every further band: two similar classes meet again in one of them.
-            parts = large.join(self.classes.select("node", "bands"), "node").select(
-                "key", "node", "component", "band", F.posexplode("bands").alias("next", "other")
-            )
-            parts = parts.where("next > band AND other <> key")
-            rows = parts.select(F.xxhash64("key", "other").alias("key"), "node", "component", F.col("next").alias("band"))
-        return found.union(self._verified(pairs.distinct())).distinct()
+        rows = rows.join(labels, "node", "left").select("key", "node", own)
+        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+        counts = materialized(counts.where("x <> y").select("key", "n"), "open-buckets")
+        rows = materialized(rows.join(counts, "key"), "open")
+        few = rows.where(F.col("n") <= FEW)
+        a = few.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
+        b = few.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
+        pairs = a.join(b, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
+        many = rows.where(F.col("n") > FEW)
+        blocks = many.join(self.frames, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(BLOCK))))
+        blocks = blocks.groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "frame")).alias("items"))
+        found = _block_pairs(blocks, "key").mapInArrow(_block_edges(self.words, self.threshold), "a long, b long")
+        return found.union(self._verified(pairs)).distinct()
 
     def links(self, labels: DataFrame) -> DataFrame:
         """``node, links``: documents linked to each class, other classes only."""

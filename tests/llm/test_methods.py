@@ -164,3 +164,15 @@ def test_near_join_of_repeated_passages(spark):
     docs = [(1, passage), (2, f"{passage} {passage}"), (3, page), (4, page + " a line found on every page" * 100)]
     rows = near_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).orderBy("doc_id").collect()
     assert [(r.class_id, r.n_links) for r in rows] == [(1, 1), (1, 1), (3, 1), (3, 1)]
+
+
+@pytest.mark.parametrize("few,split", [(1, 3), (100, 3), (1, 8192)])
+def test_near_join_in_one_bucket_only(spark, monkeypatch, few, split):
+    """Pairs that share a single band are compared in its bucket, however large that is."""
+    monkeypatch.setattr(near_join, "FEW", few)
+    monkeypatch.setattr(near_join, "SPLIT", split)
+    texts = [" ".join(f"t{pair}w{i}" for i in range(100 + more)) for pair in range(5) for more in (0, 1)]
+    join = near_join.NearJoin(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    join.classes = join.classes.withColumn("bands", F.array(F.lit(1).cast("long")))
+    join.buckets = join._buckets()
+    assert sorted(r["count"] for r in join.components().groupBy("component").count().collect()) == [2] * 5
