@@ -30,7 +30,7 @@ from lonja.session import materialized
 
 WORDS = 5
 THRESHOLD = 0.8
-RECALL = 0.999
+RECALL = 0.99999
 MOST_HASHES = 304
 SKETCH = 256
 #: Classes of different components are paired in buckets up to FEW and compared in blocks in larger ones. Buckets
@@ -60,8 +60,10 @@ def sketch_distance(threshold: float) -> int:
 
 def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, did, tag, cls, grams, bands, sketch``: class digest, number of distinct n-grams and hashes of each text."""
-    multiply = (stream(2, bands * rows) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    add = (stream(3, bands * rows) >> np.uint64(32)).astype(np.uint32)
+    # The bands may need fewer hashes than the sketch, which takes each hash once.
+    hashed = max(bands * rows, SKETCH)
+    multiply = (stream(2, hashed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    add = (stream(3, hashed) >> np.uint64(32)).astype(np.uint32)
     fold = stream(4, rows)
     schema = pa.schema([
         ("doc_id", pa.int64()), ("did", pa.int64()), ("tag", pa.int32()), ("cls", pa.binary()), ("grams", pa.int64()),
@@ -91,10 +93,10 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
                 if len(full):
                     short = (grams >> np.uint64(32)).astype(np.uint32)
                     heads = gram_at[:-1][full]
-                    least = np.empty((bands * rows, len(full)), np.uint32)
-                    for i in range(bands * rows):
+                    least = np.empty((hashed, len(full)), np.uint32)
+                    for i in range(hashed):
                         np.minimum.reduceat(short * multiply[i] + add[i], heads, out=least[i])
-                    pick = least[np.arange(SKETCH) % (bands * rows)].T * np.uint32(0x9E3779B1) >> np.uint32(31)
+                    pick = least[:SKETCH].T * np.uint32(0x9E3779B1) >> np.uint32(31)
                     bits[full] = np.ascontiguousarray(np.packbits(pick.astype(np.uint8), axis=1)).view(np.int64)
                     for band in range(bands):
                         key = np.full(len(full), np.uint64(band + 1) * np.uint64(0x9E3779B97F4A7C15))

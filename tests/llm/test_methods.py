@@ -157,6 +157,12 @@ def test_near_join_in_large_buckets(spark, monkeypatch, few, split):
     assert [(r.class_id, r.n_links) for r in rows] == [(names[a], sum(linked[a])) for a in range(len(texts))]
 
 
+def test_recall():
+    """A pair at the threshold is missed with a probability of 0.00001 at most."""
+    bands, rows = near_join.banding(near_join.THRESHOLD, near_join.RECALL, near_join.MOST_HASHES)
+    assert (1 - near_join.THRESHOLD**rows) ** bands <= 1.0000001e-5
+
+
 def test_near_join_of_repeated_passages(spark):
     """Similarity is that of sets: a text and its doubling, and a page with one line repeated many times."""
     passage = " ".join(f"w{i}" for i in range(200))
