@@ -132,7 +132,10 @@ def _position(epoch: Column, words: Column, schedules: tuple) -> Column:
 
 def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
             weights: tuple = WEIGHTS, most: int = MOST, schedules: tuple = SCHEDULES) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken, epochs, first_position``.
+    """One row per document: ``doc_id, size, source_size, target, taken, epochs, positions``.
+
+    ``positions`` has the training position of the copy in each epoch that uses the document. The result is
+    range-partitioned and sorted by the first of them, documents that are not used last.
 
     ``taken`` sums to the rounded target in every source: the last document that the demand reaches is taken
     in part. A null text has size 0, a null source is a source of its own (last in order), a null id sorts
@@ -146,11 +149,13 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     parts = [_in_epoch(epoch) for epoch in range(most)]
     taken = sum(parts[1:], parts[0])
     epochs = sum([F.when(p > 0, 1).otherwise(0) for p in parts[1:]], F.when(parts[0] > 0, 1).otherwise(0))
-    first = F.when(parts[0] > 0, _position(F.lit(0), parts[0], schedules))
-    return placed(rows, weights, most).select(
+    positions = [F.when(p > 0, _position(F.lit(epoch), p, schedules)) for epoch, p in enumerate(parts)]
+    mixed = placed(rows, weights, most).select(
         "doc_id", "size", "source_size", "target", taken.alias("taken"), epochs.alias("epochs"),
-        first.alias("first_position"),
+        F.array_compact(F.array(*positions)).alias("positions"), "key",
     )
+    order = [F.get("positions", F.lit(0)).asc_nulls_last(), F.col("key")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop("key")
 
 
 def curriculum(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",

@@ -49,7 +49,7 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixture(table(spark, sf_dir, "documents"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The parts of the operators against plain computations."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from lonja.llm import near_join
 from lonja.llm.curriculum import SCHEDULES, _inverse
 from lonja.llm.packing import Limits, best_fit
+from lonja.llm.queries import op8_mix_sources
 from lonja.llm.repeats import repeated_spans
 from lonja.llm.suffix_array import repeated, suffix_array
 from lonja.llm.token_files import decode_ranks, encode_ranks
@@ -182,3 +185,26 @@ def test_near_join_in_one_bucket_only(spark, monkeypatch, few, split):
     join.classes = join.classes.withColumn("bands", F.array(F.lit(1).cast("long")))
     join.buckets = join._buckets()
     assert sorted(r["count"] for r in join.components().groupBy("component").count().collect()) == [2] * 5
+
+
+def test_mix_query_has_positions(spark):
+    """Every copy that is used has the position at which its source's integrated schedule reaches its middle."""
+    folder = "/root/testdata/sf0.001"
+    sources = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source").collect())
+    rows = op8_mix_sources(spark, folder).collect()
+    names = sorted(set(sources.values()), key=lambda x: (x is None, x))
+    grid = np.linspace(0, 1, 200_001)
+    for place, name in enumerate(names):
+        rate = np.interp(grid, *zip(*SCHEDULES[place % 3], strict=True))
+        done = np.concatenate([[0], np.cumsum((rate[1:] + rate[:-1]) / 2)])
+        mine = [r for r in rows if sources[r.doc_id] == name]
+        before = 0
+        for r in sorted(mine, key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest()):
+            demand = min(int(r.target + 0.5), 3 * r.source_size)
+            starts = [before + epoch * r.source_size for epoch in range(3)]
+            middles = [s + min(demand - s, r.size) / 2 for s in starts if r.size and s < demand]
+            assert np.allclose(r.positions, np.interp(np.array(middles) / max(1, demand), done / done[-1], grid), atol=1e-5)
+            before += r.size
+    firsts = [r.positions[0] for r in rows if r.positions]
+    assert firsts == sorted(firsts) and all(not r.positions for r in rows[len(firsts):])
+    assert max(len(r.positions) for r in rows) > 1
