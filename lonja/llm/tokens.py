@@ -2,7 +2,8 @@
 
 Byte-level BPE treats each pre-token on its own, and a pre-token always begins at a space between two visible
 characters. So a text may be cut there, each distinct piece is encoded once per batch, and the ids are put
-together by numpy. Texts in which a space touches other white space are encoded as they are.
+together by numpy. Texts in which a space touches other white space, or that hold an added token, are encoded as
+they are.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(vocabulary)
-        self.model.encode_special_tokens = True
+        self.added = [token.content for token in self.model.get_added_tokens_decoder().values()]
         words = self.model.get_vocab(with_added_tokens=True)
         self.head = np.zeros(max(words.values()) + 1, bool)
         self.head[[i for word, i in words.items() if word.startswith("Ġ")]] = True
@@ -128,6 +129,8 @@ class Encoder:
         """Ids of all texts (none null) and the n + 1 offsets."""
         counts = np.zeros(len(texts), np.int64)
         uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        for token in self.added:
+            uneven = uneven | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         odd, even = np.flatnonzero(uneven), np.flatnonzero(~uneven)
         odd_ids, odd_lengths = self.each(texts.take(pa.array(odd)).to_pylist())
         lists = pc.split_pattern(texts.take(pa.array(even)) if len(odd) else texts, " ")

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lonja.llm import near_join
 from lonja.llm.curriculum import SCHEDULES, _inverse
@@ -77,6 +78,16 @@ def test_pieces_equal_plain_encoding(encoder, texts):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain
 
 
+def test_added_token_in_texts(encoder):
+    """A literal added token has its one id, as with the tokenizer as it is given."""
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a b<|endoftext|>c d <|endoftext|>", "<|endoftext", "no such token"]
+    fresh = Tokenizer.from_file(default_vocabulary())
+    ids, at = encoder.encode(pa.array(texts, pa.string()))
+    plain = [fresh.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain
+    assert [list(x).count(50256) for x in plain] == [1, 1, 2, 0, 0]
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return Encoder(default_vocabulary())
