@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lonja.llm.curriculum import mixture
+from lonja.llm.decontaminate import contamination
 from lonja.llm.exact_dedup import exact_duplicates
 from lonja.llm.near_join import near_duplicates
 from lonja.llm import language, packing, quality
@@ -63,6 +64,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 LLM_QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,6 +82,7 @@ LLM_QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 LLM_ORACLE = {
@@ -127,4 +136,30 @@ LLM_ORACLE = {
                (greatest(least(demand - before, size), 0) + greatest(least(demand - before - source_size, size), 0)
                 + greatest(least(demand - before - 2 * source_size, size), 0))::BIGINT AS taken
         FROM placed""",
+    "op13_decontaminate": r"""
+        WITH docs AS (
+          SELECT row_number() OVER () AS row, doc_id,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+        items AS (
+          SELECT coalesce(item_id::VARCHAR, '') AS item,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+        places AS (
+          SELECT item, words, least(10, len(words)) AS size, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS spot
+          FROM items WHERE len(words) > 0),
+        windows AS (SELECT DISTINCT item, size, array_to_string(words[spot:spot + size - 1], ' ') AS gram FROM places),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        starts AS (
+          SELECT row, size, words, unnest(range(1, len(words) - size + 2)) AS spot FROM docs, sizes WHERE len(words) >= size),
+        hits AS (
+          SELECT s.row, s.spot, s.size, w.item FROM starts s
+          JOIN windows w ON w.size = s.size AND w.gram = array_to_string(s.words[s.spot:s.spot + s.size - 1], ' ')),
+        covered AS (
+          SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(spot, spot + size)) AS word FROM hits) GROUP BY row),
+        named AS (SELECT row, list_sort(list(DISTINCT item)) AS names FROM hits GROUP BY row)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(len(names), 0)::BIGINT AS n_items,
+               sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)""",
 }
