@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lonja.llm.curriculum import mixture
 from lonja.llm.decontaminate import contamination
 from lonja.llm.exact_dedup import exact_duplicates
+from lonja.llm.filter_audit import audit
 from lonja.llm.near_join import near_duplicates
 from lonja.llm import language, packing, quality
 from lonja.llm.repeats import repeated_spans
@@ -64,6 +65,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -82,6 +87,7 @@ LLM_QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_filter_audit": op12_filter_audit,
     "op13_decontaminate": op13_decontaminate,
 }
 
@@ -136,6 +142,41 @@ LLM_ORACLE = {
                (greatest(least(demand - before, size), 0) + greatest(least(demand - before - source_size, size), 0)
                 + greatest(least(demand - before - 2 * source_size, size), 0))::BIGINT AS taken
         FROM placed""",
+    "op12_filter_audit": r"""
+        WITH marked AS (
+          SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+        texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        counted AS (
+          SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM texts),
+        judged AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                 (len(words) < 200)::INTEGER + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+                 + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text))::INTEGER
+                 + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER + 16 * coalesce(least < doc_id, false)::INTEGER AS mask
+          FROM counted LEFT JOIN marked USING (doc_id)),
+        masks AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+        orders AS (
+          SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+          WHERE b.f <> a.f AND c.f NOT IN (a.f, b.f) AND d.f NOT IN (a.f, b.f, c.f) AND e.f NOT IN (a.f, b.f, c.f, d.f)),
+        places AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders),
+        steps AS (
+          SELECT *, (1 << (strpos('ABCDE', filter_order[step]) - 1)::INTEGER) AS bit,
+                 coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (strpos('ABCDE', filter_order[k]) - 1)::INTEGER)), 0)::INTEGER
+                   AS before
+          FROM places),
+        applied AS (
+          SELECT part, filter_order, step, bit,
+                 coalesce(sum(n) FILTER (WHERE mask & (before | bit) = 0), 0)::BIGINT AS kept,
+                 coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+                 coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+                 coalesce(sum(n) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
+                 coalesce(sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+                 coalesce(sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+          FROM masks, steps GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM applied""",
     "op13_decontaminate": r"""
         WITH docs AS (
           SELECT row_number() OVER () AS row, doc_id,
