@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lonja.llm.alignment import link_report
 from lonja.llm.curriculum import mixture
 from lonja.llm.decontaminate import contamination
 from lonja.llm.exact_dedup import exact_duplicates
@@ -65,6 +66,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_report(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -87,6 +92,7 @@ LLM_QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality": op9_quality,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_filter_audit": op12_filter_audit,
     "op13_decontaminate": op13_decontaminate,
 }

@@ -60,6 +60,11 @@ def shared_encoder(vocabulary: str) -> "Encoder":
     return cache["encoder", vocabulary]
 
 
+def uneven(texts: pa.Array) -> np.ndarray:
+    """Whether a space of the text stands at either end or beside other white space."""
+    return pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+
+
 class Encoder:
     def __init__(self, vocabulary: str):
         import os
@@ -128,10 +133,10 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (none null) and the n + 1 offsets."""
         counts = np.zeros(len(texts), np.int64)
-        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        apart = uneven(texts)
         for token in self.added:
-            uneven = uneven | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        odd, even = np.flatnonzero(uneven), np.flatnonzero(~uneven)
+            apart = apart | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        odd, even = np.flatnonzero(apart), np.flatnonzero(~apart)
         odd_ids, odd_lengths = self.each(texts.take(pa.array(odd)).to_pylist())
         lists = pc.split_pattern(texts.take(pa.array(even)) if len(odd) else texts, " ")
         offsets = lists.offsets.to_numpy()
