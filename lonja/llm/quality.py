@@ -8,7 +8,7 @@ fitted on the scaled indicators by dual coordinate descent, over a bounded sampl
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -235,25 +235,26 @@ def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def score(docs: DataFrame, model: Fitted, text: str = "text", output: str = "score") -> DataFrame:
     """All columns of the rows and ``output``, the score from 0 to 1 (a null or empty text gets the bias alone)."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by the number of features
+    # Its size is fixed by the number of features. Plain values: a broadcast class would be looked up in the package.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
     place = docs.columns.index(text)
     names = [*docs.columns, output]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
-        hasher = Hasher()
+        hasher, fitted = Hasher(), Fitted(*shared.value)
         for batch in batches:
             column = batch.column(place).fill_null("")
             _, at = byte_column(column)
             values = [
-                shared.value.scores(column.slice(start, stop - start), hasher)
+                fitted.scores(column.slice(start, stop - start), hasher)
                 for start, stop in rows_by_bytes(batch, np.diff(at), 1 << 20)
             ]
             found = np.concatenate(values) if values else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, `{output}` double")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{columns}, `{output}` double")
 
 
 def held_out(doc_id: str = "doc_id"):

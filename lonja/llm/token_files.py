@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +45,12 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), data.tobytes()
 
 
-@cache
-def lookup() -> np.ndarray:
-    """Byte lengths of the four values of each control byte."""
-    control = np.arange(256)
-    return np.stack([(control >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1)
+#: Byte lengths of the four values of each control byte.
+LENGTHS = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1)
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
-    sizes = lookup()[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
+    sizes = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
     values = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)])
     begin = np.cumsum(sizes) - sizes
     ranks = values[begin].astype(np.uint32)

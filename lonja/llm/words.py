@@ -6,7 +6,6 @@ A word is a maximal run of ASCII letters and digits and of non-ASCII characters
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +48,10 @@ class Shapes:
     mark_rows: np.ndarray
 
 
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    letters = np.zeros(256, bool)
-    letters[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
-    letters[128:] = True
-    return letters, stream(1, 256)
+#: Whether a byte belongs to a word, and the value of a byte in a hash. Plain arrays travel to the workers with the
+#: functions that use them; a cached function would be looked up in the package, which workers need not have.
+_INSIDE = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789")) | (np.arange(256) >= 128)
+_VALUES = stream(1, 256)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +70,13 @@ class Hasher:
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash of each word and the n + 1 word offsets of the texts, for lower-cased UTF-8 bytes."""
-        letters, values = _tables()
         n = len(data)
         if n == 0:
             return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
         if len(self.up) < n + 1:
             self.up, self.down = _powers(n + 1)
         inside = np.zeros(n + 2, bool)
-        inside[1:-1] = letters[data]
+        inside[1:-1] = _INSIDE[data]
         # Where one text touches the next, a word ends and another may begin.
         touch = offsets[1:-1]
         touch = touch[(touch > 0) & (touch < n)]
@@ -90,7 +86,7 @@ class Hasher:
         last[touch - 1] |= inside[1:-1][touch - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         total = np.zeros(n + 1, U64)
-        np.cumsum(values[data] * self.up[:n], out=total[1:])
+        np.cumsum(_VALUES[data] * self.up[:n], out=total[1:])
         hashes = mix((total[ends] - total[starts]) * self.down[starts])
         return hashes, np.searchsorted(starts, offsets)
 
@@ -99,13 +95,12 @@ class Hasher:
         """The same for texts of mixed case, with the case of each word and all other visible characters."""
         small = data | (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
         hashes, at = self.words(small, offsets)
-        letters, _ = _tables()
         texts = len(offsets) - 1
         rows = np.repeat(np.arange(texts), np.diff(at))
         if not len(data):
             none = np.zeros(0, np.int64)
             return Shapes(data, texts, none, hashes, rows, none, none, none)
-        inside = letters[small]
+        inside = _INSIDE[small]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         touch = offsets[1:-1]
