@@ -130,6 +130,12 @@ def _position(epoch: Column, words: Column, schedules: tuple) -> Column:
     return time
 
 
+def _key(doc_id: str, text: str) -> Column:
+    """Place of a row in its source's order: a hash of its id, or of its text where it has none."""
+    unnamed = F.concat(F.lit(" "), F.coalesce(F.col(text), F.lit("")))
+    return F.md5(F.coalesce(F.col(doc_id).cast("string"), unnamed).cast("binary"))
+
+
 def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
             weights: tuple = WEIGHTS, most: int = MOST, schedules: tuple = SCHEDULES) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken, epochs, positions``.
@@ -138,12 +144,12 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     range-partitioned and sorted by the first of them, documents that are not used last.
 
     ``taken`` sums to the rounded target in every source: the last document that the demand reaches is taken
-    in part. A null text has size 0, a null source is a source of its own (last in order), a null id sorts
-    as an empty one; rows that repeat are separate documents. An empty table gives an empty result.
+    in part. A null text has size 0, a null source is a source of its own (last in order), a row without an id
+    is placed by its text; rows that repeat are separate documents. An empty table gives an empty result.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")).alias("key"),
+        _key(doc_id, text).alias("key"),
     )
     rows = materialized(rows, "sizes").withColumn("tie", F.col("size"))
     parts = [_in_epoch(epoch) for epoch in range(most)]
@@ -164,21 +170,25 @@ def curriculum(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
 
     Whole documents only: an epoch uses a document if the demand reaches its middle. Documents without words
     are used once if their source's demand reaches them (a source without words keeps its documents once).
+    Nulls and repeated rows are treated as in ``mixture``; an empty table gives an empty result.
     The result is range-partitioned and sorted by training position.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")).alias("key"),
+        _key(doc_id, text).alias("key"),
     ).withColumn("tie", F.xxhash64("row"))
     middle = F.col("before") * 2 + F.col("size")
     used = F.array(*[
         F.lit(epoch) for epoch in range(most)
     ])
-    rows = placed(rows, weights, most).withColumn("epoch", F.explode(used))
-    reached = (middle + 2 * F.col("epoch") * F.col("source_size") < 2 * F.col("demand")) | (
-        (F.col("epoch") == 0) & (F.col("source_size") == 0)
-    )
-    rows = rows.where(reached & ((F.col("size") > 0) | (F.col("epoch") == 0)))
+
+    def reached(epoch: Column) -> Column:
+        inside = middle + 2 * epoch * F.col("source_size") < 2 * F.col("demand")
+        first = epoch == 0
+        return (inside | (first & (F.col("source_size") == 0))) & ((F.col("size") > 0) | first)
+
+    # Only the epochs that use a row make copies of it.
+    rows = placed(rows, weights, most).withColumn("epoch", F.explode(F.filter(used, reached)))
     rows = rows.withColumn("position", _position(F.col("epoch"), F.col("size"), schedules))
     return rows.repartitionByRange("position", "key").sortWithinPartitions("position", "key").select("row.*")

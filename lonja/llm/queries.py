@@ -52,7 +52,9 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture(table(spark, sf_dir, "documents"))
+    mixed = mixture(table(spark, sf_dir, "documents"))
+    texts = F.transform("positions", lambda p: F.round(p, 6).cast("decimal(9,6)").cast("string"))
+    return mixed.withColumn("positions", F.array_join(texts, ","))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,13 +122,13 @@ LLM_ORACLE = {
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op8_mix_sources": r"""
         WITH sizes AS (
-          SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS key,
+          SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, ' ' || coalesce(text, ''))) AS key,
                  CASE WHEN text IS NULL THEN 0
                       ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents),
         sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
         weighted AS (
-          SELECT source, source_size,
-                 [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sources),
+          SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place,
+                 [5, 2, 1][1 + place] AS weight FROM sources),
         levels AS (
           SELECT *, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS turn,
                  (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0))
@@ -135,19 +137,34 @@ LLM_ORACLE = {
                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         final AS (SELECT arg_min(level, turn) FILTER (WHERE 3 * source_size > level * weight) AS level FROM levels),
         aims AS (
-          SELECT w.source, source_size,
+          SELECT w.source, source_size, place,
                  CASE WHEN f.level IS NULL OR 3 * source_size <= f.level * weight THEN (3 * source_size)::DOUBLE
                       ELSE f.level * weight END AS target
           FROM weighted w, final f),
         placed AS (
-          SELECT s.doc_id, s.size, a.source_size, a.target, least(floor(a.target + 0.5), 3 * a.source_size)::BIGINT AS demand,
+          SELECT s.doc_id, s.size, a.source_size, a.target, a.place,
+                 least(floor(a.target + 0.5), 3 * a.source_size)::BIGINT AS demand,
                  coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-          FROM sizes s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
-        SELECT doc_id, size, source_size, target,
-               (greatest(least(demand - before, size), 0) + greatest(least(demand - before - source_size, size), 0)
-                + greatest(least(demand - before - 2 * source_size, size), 0))::BIGINT AS taken
-        FROM placed""",
+          FROM sizes s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
+        taken AS (
+          SELECT *, list_transform([0, 1, 2], lambda e: greatest(least(demand - before - e * source_size, size), 0)) AS words FROM placed),
+        -- The part of the demand before the middle of each copy that is used, then the time at which the integral of the
+        -- source's rate of use gets there. Rates: 1.5 until 0.3, down to 0.5 at 0.8; even; 0.5 until 0.5, up to 2 at 1.
+        parts AS (
+          SELECT *, list_transform(list_filter([0, 1, 2], lambda e: words[e + 1] > 0),
+                                   lambda e: (before + e * source_size + words[e + 1] / 2.0) / demand::DOUBLE) AS part FROM taken),
+        timed AS (
+          SELECT *, list_transform(part, lambda p: CASE
+                   WHEN place = 1 THEN p
+                   WHEN place = 0 AND p * 1.05 <= 0.45 THEN p * 1.05 / 1.5
+                   WHEN place = 0 AND p * 1.05 <= 0.95 THEN 0.3 + (1.5 - sqrt(greatest(2.25 - 4 * (p * 1.05 - 0.45), 0))) / 2
+                   WHEN place = 0 THEN 0.8 + (p * 1.05 - 0.95) / 0.5
+                   WHEN p * 0.875 <= 0.25 THEN p * 0.875 / 0.5
+                   ELSE 0.5 + (sqrt(0.25 + 6 * (p * 0.875 - 0.25)) - 0.5) / 3 END) AS times FROM parts)
+        SELECT doc_id, size, source_size, target, list_sum(words)::BIGINT AS taken, len(part)::INTEGER AS epochs,
+               coalesce(array_to_string(list_transform(times, lambda t: round(t, 6)::DECIMAL(9, 6)::VARCHAR), ','), '') AS positions
+        FROM timed""",
     "op12_filter_audit": r"""
         WITH marked AS (
           SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),

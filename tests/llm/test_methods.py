@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -202,7 +203,7 @@ def test_mix_query_has_positions(spark):
     """Every copy that is used has the position at which its source's integrated schedule reaches its middle."""
     folder = "/root/testdata/sf0.001"
     sources = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source").collect())
-    rows = op8_mix_sources(spark, folder).collect()
+    rows = [Row(**{**r.asDict(), "positions": [float(p) for p in r.positions.split(",") if p]}) for r in op8_mix_sources(spark, folder).collect()]
     names = sorted(set(sources.values()), key=lambda x: (x is None, x))
     grid = np.linspace(0, 1, 200_001)
     for place, name in enumerate(names):
