@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from lonja.llm.rows import byte_column, small_batches
 from lonja.llm.words import lowered
+from lonja.session import materialized
 
-#: Bytes of raw text in the dictionary of one language, and the most it takes from one document.
+#: Bytes of raw text in the dictionary of one language and in all of them, and characters taken from one document.
 DICTIONARY = 96 << 10
+DICTIONARIES = 48 << 20
 EXCERPT = 1 << 10
-#: Most languages; training keeps the most frequent ones beyond it. Bounds what reaches the driver and tasks.
-LANGUAGES = 512
 BLOCK = 1 << 10
 LEVEL = 6
 #: Narrowest lead, as a share of the winner's bytes, that is accepted.
@@ -35,27 +35,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """Dictionary of each language, the most frequent one first, from labelled rows: excerpts of the documents with the smallest hash of their id.
+    """Dictionary of each language, the most frequent one first, from labelled rows.
 
-    The sample is bounded by ``DICTIONARY`` bytes a language; a document gives at most ``EXCERPT`` bytes of it.
+    The sample is bounded by ``DICTIONARY`` bytes a language and ``DICTIONARIES`` bytes in all, shared evenly if
+    there are many languages; none is left out. It is filled in the order of a hash of the id with excerpts of at
+    most ``EXCERPT`` characters from hash-chosen places of the texts. Rows without a language, a text or a letter
+    in it teach nothing; a null id takes part; an empty table gives no dictionary.
     """
+    turn = F.xxhash64(F.col(doc_id).cast("string"), F.lit(5))
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string"), F.lit(5)).alias("turn"), F.col(text).alias("text"))
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    # Pre-aggregated top rows per language: a first cut in hash slices, so no window spans a language.
-    width = DICTIONARY // EXCERPT
-    slices = rows.select("lang", "turn", F.lower(F.substring("text", 1, EXCERPT)).alias("text")).withColumn(
-        "slice", F.pmod(F.col("turn"), F.lit(256)))
-    inside = Window.partitionBy("lang", "slice").orderBy("turn", "text")
-    few = slices.withColumn("place", F.row_number().over(inside)).where(F.col("place") <= width)
-    whole = Window.partitionBy("lang").orderBy("turn", "text")
-    few = few.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= 2 * width)
-    found = {row.lang: b"" for row in known.collect()}
-    few = few.join(known, "lang", "left_semi").select("lang", "place", "text")
-    for row in few.orderBy("lang", F.desc("place")).toLocalIterator():
-        found[row.lang] += b"\n" + row.text.encode()
+        F.col(lang).alias("lang"), turn.alias("turn"), F.lower(F.col(text)).alias("text"))
+    place = F.pmod(F.xxhash64("turn", F.length("text")), F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))) + 1
+    rows = rows.select("lang", "turn", F.substring("text", place.cast("int"), F.lit(EXCERPT)).alias("text")).withColumn(
+        "bytes", F.octet_length("text").cast("long") + 1)
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("all_bytes"))
+    known = materialized(known, "languages")  # a row a language
+    found = {row.lang: [] for row in known.orderBy(F.desc("rows"), "lang").select("lang").collect()}
+    size = min(DICTIONARY, DICTIONARIES // max(1, len(found)))
+    # A hash keeps about four dictionaries of each language; they are few enough for one window.
+    share = F.pmod(F.xxhash64("turn", F.lit(6)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = rows.join(known.select("lang", "all_bytes"), "lang").where(share * F.col("all_bytes") < 4 * size)
+    before = Window.partitionBy("lang").orderBy("turn", "text").rowsBetween(Window.unboundedPreceding, -1)
+    few = few.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0))).where(F.col("before") < size)
+    for row in few.select("lang", "before", "text").orderBy("lang", F.desc("before")).toLocalIterator():
+        found[row.lang].append(row.text.encode())
     # The end of a dictionary is cheapest to refer to, so its bytes are kept.
-    return {name: content[-DICTIONARY:] for name, content in found.items()}
+    return {name: b"\n".join(parts)[-size:] for name, parts in found.items()}
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", block: int = BLOCK, level: int = LEVEL,
@@ -72,13 +77,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     kept = docs.columns
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     columns = [*kept, "lang_best", "lang_score", "lang_rejected"]
+    spoken_name = "_spoken"
+    while spoken_name in kept:
+        spoken_name += "_"
+    # Bounded by DICTIONARIES; the work on a text grows with the number of languages.
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         coders = []
         for name in names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content = zstandard.ZstdCompressionDict(shared.value[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             content.precompute_compress(level=level)
             coders.append(zstandard.ZstdCompressor(
                 level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
@@ -106,5 +116,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
                 [*batch.columns[: len(kept)], pa.array(best, pa.string()), pa.array(score), pa.array(rejected)], columns)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("_spoken", letters).mapInArrow(
+    return docs.withColumn(spoken_name, letters).mapInArrow(
         run, f"{fields}, lang_best string, lang_score double, lang_rejected boolean")
