@@ -22,13 +22,11 @@ from lonja.session import materialized
 BITS = 18
 #: Most documents of each class in the sample that the linear model is fitted on.
 SAMPLE = 3000
-#: Most features of one document in that sample; those with the largest ratios by amount.
-FEATURES = 4000
+#: Most features of all documents of that sample together: beyond it, the sample has fewer documents.
+FEATURES = 24_000_000
 #: Longest n-gram of token shapes, and the shares of a text's tokens that make features of their own.
 SHAPE_GRAM = 4
 SHARES = (0.0, 0.05, 0.2)
-#: Least share of the labelled documents that hold a feature; rarer ones have no ratio.
-RARE = 0.002
 ROUNDS = 12
 COST = 1.0
 #: Added to each count before the ratio is taken.
@@ -120,25 +118,28 @@ def _counts(labelled: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return sums[:, :-1], sums[:, -1]
 
 
-def _sample_features(sample: DataFrame, ratios: np.ndarray, bits: int, most: int) -> list[tuple[int, np.ndarray]]:
+def _sample_features(sample: DataFrame, bits: int, most: int) -> list[tuple[int, np.ndarray]]:
+    """Label and features of the sampled documents in the order of ``turn``, until ``most`` features are reached."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
-        hasher, strength = Hasher(), np.abs(ratios)
+        hasher = Hasher()
         for batch in batches:
             _, places = byte_column(batch.column(0))
             for start, stop in rows_by_bytes(batch, np.diff(places), 1 << 20):
                 part = batch.slice(start, stop - start)
                 feature, _, at = features(part.column(0), hasher, bits)
-                lists = []
-                for a, b in zip(at[:-1], at[1:], strict=True):
-                    own = feature[a:b].astype(np.int32)
-                    if len(own) > most:
-                        own = np.sort(own[np.argpartition(-strength[own], most)[:most]])
-                    lists.append(own.tobytes())
+                lists = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1).cast(pa.int64()), part.column(2), pa.array(lists, pa.binary())], ["label", "turn", "features"])
 
-    rows = sample.select("text", "label", "turn").mapInArrow(run, "label long, turn long, features binary").orderBy("turn").toArrow()
+    rows = materialized(sample.select("text", "label", "turn").mapInArrow(run, "label long, turn long, features binary"), "sample")
+    # As many small rows as the sample has documents.
+    sizes = rows.select("turn", (F.octet_length("features") / 4).cast("long").alias("n")).orderBy("turn").toArrow()
+    fits = np.cumsum(sizes["n"].to_numpy()) <= most
+    if len(fits) and not fits.all():
+        rows = rows.where(F.col("turn") < int(sizes["turn"][max(1, int(fits.sum()))].as_py()))
+    rows = rows.orderBy("turn").toArrow()
     return [(y, np.frombuffer(x, np.int32)) for y, x in zip(rows["label"].to_pylist(), rows["features"].to_pylist(), strict=True)]
 
 
@@ -191,8 +192,8 @@ class Fitted:
 def fit(labelled: DataFrame, bits: int = BITS, sample: int = SAMPLE, cost: float = COST, rounds: int = ROUNDS) -> Fitted:
     """Fit on ``doc_id, text, label`` (0 or 1; rows with another label or none are left out).
 
-    Ratios are counted over all rows. The linear model sees at most ``sample`` documents of each class: those
-    with the smallest hash of their id. Without rows of both classes every score is the share of label 1
+    Ratios are counted over all rows. The linear model sees at most ``sample`` documents of each class, those
+    with the smallest hash of their id, and of these as many as have ``FEATURES`` features together. Without rows of both classes every score is the share of label 1
     (0.5 without any row).
     """
     rows = labelled.where("label IN (0, 1)").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
@@ -205,12 +206,13 @@ def fit(labelled: DataFrame, bits: int = BITS, sample: int = SAMPLE, cost: float
     # Share of a class's documents that hold the feature.
     good = (counts[1] + SMOOTH) / (documents[1] + 2 * SMOOTH)
     bad = (counts[0] + SMOOTH) / (documents[0] + 2 * SMOOTH)
-    often = counts.sum(axis=0) >= max(2.0, RARE * documents.sum())
-    ratios = np.where(often, np.log(good / bad), 0.0)
-    turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit(9))
-    keyed = rows.withColumn("turn", turn)
-    chosen = [keyed.where(F.col("label") == c).orderBy("turn").limit(sample) for c in (0, 1)]
-    data = _sample_features(chosen[0].union(chosen[1]), ratios, bits, FEATURES)
+    # A feature of a single document says nothing about others.
+    ratios = np.where(counts.sum(axis=0) >= 2, np.log(good / bad), 0.0)
+    keyed = rows.withColumn("turn", F.xxhash64(F.col("doc_id").cast("string"), F.lit(9)))
+    # The hashes of the chosen documents first, then their texts: no task holds a class's texts.
+    last = [keyed.where(F.col("label") == c).select("turn").orderBy("turn").limit(sample).agg(F.max("turn")).first()[0] for c in (0, 1)]
+    chosen = keyed.where(F.col("turn") <= F.when(F.col("label") == 0, F.lit(last[0])).otherwise(F.lit(last[1])))
+    data = _sample_features(chosen, bits, FEATURES)
     weights, bias = _descend(data, ratios, cost, rounds)
     # Slope and offset of the logistic curve: Newton steps on the same sample, margins clipped at the hinge.
     label = np.array([float(y) for y, _ in data])

@@ -3,7 +3,7 @@
 import pytest
 
 #: Column names that the operators use themselves.
-CLASHING = ["digest", "key", "size", "score", "row", "frame", "did", "tag", "anchor", "node", "runs", "label", "bucket", "tie", "_row"]
+CLASHING = ["digest", "key", "size", "score", "row", "frame", "did", "tag", "anchor", "node", "runs", "label", "bucket", "tie", "_row", "_spoken", "_quality_score"]
 
 
 @pytest.fixture
