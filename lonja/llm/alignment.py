@@ -15,6 +15,7 @@ the corpus.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,9 @@ from lonja.llm.tokens import Encoder, default_vocabulary, gathered, ragged, unev
 from lonja.session import materialized
 
 #: A worker process forgets its units when it holds this many, or this many bytes of them.
-KEPT, KEPT_BYTES = 300_000, 48 << 20
+KEPT, KEPT_BYTES = 200_000, 48 << 20
+#: Units aligned at once, and bytes of text of a block.
+STEP, BLOCK_BYTES = 20_000, 4 << 20
 _LOW = (1 << 32) - 1
 
 
@@ -99,6 +102,7 @@ class Aligner:
             piece = self.second.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece)
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.forget()
 
     def forget(self) -> None:
@@ -107,44 +111,77 @@ class Aligner:
         self.numbers = np.zeros((0, 4), np.int64)  # tokens of both sides, groups, whether the bytes agree
         self.links, self.at, self.held = np.zeros(0, np.int64), np.zeros(1, np.int64), 0
 
-    def encode(self, units: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
-        """Ids of both sides of each unit with a space before it; none where the bytes are not those of the unit."""
-        flats = []
-        for spaced, some in ((True, [u for u in units if " " not in u]), (False, [u for u in units if " " in u])):
-            ids, sizes = self.first.spaced(pa.array(some, pa.string())) if spaced else self.first.each([" " + u for u in some])
-            ids, at = ids.tolist(), np.concatenate([[0], np.cumsum(sizes)]).tolist()
-            flats += [(u, ids[x:y]) for u, x, y in zip(some, at[:-1], at[1:], strict=True)]
-        pieces = self.second.encode([u for u, _ in flats], out_type=int, num_threads=1) if flats else []
-        for (unit, a), b in zip(flats, pieces, strict=True):
-            content = b" " + unit.encode()
-            same = b"".join([self.a_bytes[i] for i in a]) == content == b"".join([self.b_bytes[i] for i in b])
-            yield unit, *((a, b) if same else ([], []))
+    def encode(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The units in another order, and flat ids with n + 1 offsets of both sides, each unit with a space before it.
+
+        A unit whose bytes a side does not give back has no ids.
+        """
+        plain, odd = [u for u in units if " " not in u], [u for u in units if " " in u]
+        units = plain + odd
+        found = [self.first.spaced(pa.array(plain, pa.string())), self.first.each([" " + u for u in odd])]
+        a, a_counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        lists = self.second.encode(units, out_type=int, num_threads=1) if units else []
+        b_counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        b = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(b_counts.sum()))
+        a_at, b_at = (np.concatenate([[0], np.cumsum(x)]) for x in (a_counts, b_counts))
+        content = [b" " + u.encode() for u in units]
+        first, second = list(map(self.a_bytes.__getitem__, a.tolist())), list(map(self.b_bytes.__getitem__, b.tolist()))
+        lengths = np.array([len(c) for c in content])
+        whole = all((np.add.reduceat(sizes[ids], at[:-1]) == lengths).all() for sizes, ids, at in (
+            (self.a_sizes, a, a_at), (self.b_sizes, b, b_at))) if units and min(a_counts.min(), b_counts.min()) else False
+        if not whole or not b"".join(first) == b"".join(content) == b"".join(second):
+            same = np.array([
+                b"".join(first[a_at[i] : a_at[i + 1]]) == c == b"".join(second[b_at[i] : b_at[i + 1]]) for i, c in enumerate(content)
+            ], bool)
+            a, b = a[np.repeat(same, a_counts)], b[np.repeat(same, b_counts)]
+            a_at, b_at = (np.concatenate([[0], np.cumsum(np.where(same, x, 0))]) for x in (a_counts, b_counts))
+        return units, a, a_at, b, b_at
 
     def learn(self, units: list[str]) -> None:
-        """Align new units: ids of both sides, groups, links."""
-        numbers, links, sizes = [], [], []
-        for unit, a, b in self.encode(units):
-            a_sizes, b_sizes = [len(self.a_bytes[i]) for i in a], [len(self.b_bytes[i]) for i in b]
-            groups = token_groups(a_sizes, b_sizes)
-            before = len(links)
-            for group in groups:
-                links += [a[x] << 32 | b[y] for x, y in group_links(a_sizes, b_sizes, group)]
-            sizes.append(len(links) - before)
-            shown = ";".join([",".join(map(str, a[g[0] : g[1]])) + "|" + ",".join(map(str, b[g[2] : g[3]])) for g in groups])
-            self.index[unit] = len(self.groups)
-            self.groups.append(shown)
-            numbers.append((len(a), len(b), len(groups), bool(a)))
-            self.held += len(unit) + len(shown) + 8 * sizes[-1]
-        if numbers:
-            self.numbers = np.concatenate([self.numbers, np.array(numbers, np.int64)])
-            self.links = np.concatenate([self.links, np.array(links, np.int64)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes, dtype=np.int64)])
+        """Align new units: ids of both sides, groups, links.
+
+        Every unit ends where tokens of both sides end, so units laid one after the other are aligned as one text.
+        """
+        units, a, a_at, b, b_at = self.encode(units)
+        a_sizes, b_sizes = self.a_sizes[a].tolist(), self.b_sizes[b].tolist()
+        groups = np.array(token_groups(a_sizes, b_sizes), np.int64).reshape(-1, 4)
+        a_low, a_high, b_low, b_high = groups.T
+        group_at = np.searchsorted(a_low, a_at)
+        a_many, b_many = a_high - a_low, b_high - b_low
+        # With one token on a side, all tokens of the other overlap it.
+        simple = (a_many == 1) | (b_many == 1)
+        hard = {g: group_links(a_sizes, b_sizes, tuple(groups[g].tolist())) for g in np.flatnonzero(~simple).tolist()}
+        counts = a_many * b_many
+        counts[list(hard)] = [len(x) for x in hard.values()]
+        first = np.cumsum(counts) - counts
+        inner = np.arange(int(counts.sum())) - np.repeat(first, counts)
+        x = np.repeat(a_low, counts) + np.where(np.repeat(a_many > 1, counts), inner, 0)
+        y = np.repeat(b_low, counts) + np.where(np.repeat(b_many > 1, counts), inner, 0)
+        for g, links in hard.items():
+            x[first[g] : first[g] + counts[g]], y[first[g] : first[g] + counts[g]] = zip(*links, strict=True)
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        shown = [
+            a_text[g] + "|" + b_text[i] if h - g == 1 and j - i == 1 else ",".join(a_text[g:h]) + "|" + ",".join(b_text[i:j])
+            for g, h, i, j in groups.tolist()
+        ]
+        texts = [";".join(shown[g:h]) for g, h in zip(group_at[:-1].tolist(), group_at[1:].tolist(), strict=True)]
+        before = len(self.groups)
+        self.index.update(zip(units, range(before, before + len(units)), strict=True))
+        self.groups += texts
+        numbers = np.stack([np.diff(a_at), np.diff(b_at), np.diff(group_at), np.diff(a_at) > 0], axis=1)
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.links = np.concatenate([self.links, a[x].astype(np.int64) << 32 | b[y].astype(np.int64)])
+        link_at = np.concatenate([[0], np.cumsum(counts)])[group_at]
+        self.at = np.concatenate([self.at, self.at[-1] + link_at[1:]])
+        self.held += sum(map(len, units)) + sum(map(len, texts)) + 8 * int(counts.sum())
 
     def places(self, units: list[str]) -> np.ndarray:
         """Numbers of the (distinct) units in this object's arrays."""
         if len(self.groups) > KEPT or self.held > KEPT_BYTES:
             self.forget()
-        self.learn([u for u in units if u and u not in self.index])
+        new = [u for u in units if u and u not in self.index]
+        for at in range(0, len(new), STEP):
+            self.learn(new[at : at + STEP])
         return np.fromiter((self.index.get(u, -1) for u in units), np.int64, len(units))
 
 
@@ -186,7 +223,7 @@ def _blocks(vocabulary: str, pieces: str):
 
         squeeze = zstandard.ZstdCompressor(level=3).compress
         aligner = shared_aligner(vocabulary, pieces)
-        for batch in gathered(batches, 1):
+        for batch in gathered(batches, 1, BLOCK_BYTES):
             order, at, words, units = units_of(batch.column(1).fill_null(""))
             place = aligner.places(units)
             # Number -1 (an empty text) is the last row of the tables: no tokens.
@@ -309,7 +346,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabul
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = shared_aligner(vocabulary, pieces)
-        for batch in gathered(batches, 1):
+        for batch in gathered(batches, 1, BLOCK_BYTES):
             order, at, words, units = units_of(batch.column(1).fill_null(""))
             place = aligner.places(units)
             # None where the bytes do not agree: such a text has no groups.

@@ -168,15 +168,15 @@ class Encoder:
         return ragged(both, begin, counts), at
 
 
-def gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``BATCH_BYTES`` of text, whatever the size of the incoming ones."""
+def gathered(batches: Iterator[pa.RecordBatch], column: int, size_of_batch: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size_of_batch`` bytes of text, whatever the size of the incoming ones."""
     held, size = [], 0
     for batch in batches:
         _, at = byte_column(batch.column(column))
-        for start, stop in rows_by_bytes(batch, np.diff(at), BATCH_BYTES):
+        for start, stop in rows_by_bytes(batch, np.diff(at), size_of_batch):
             held.append(batch.slice(start, stop - start))
             size += int(at[stop] - at[start])
-            if size >= BATCH_BYTES:
+            if size >= size_of_batch:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held, size = [], 0
     if held:
