@@ -10,8 +10,11 @@ n + length - 1 bytes.
 2. The texts of the different runs of each anchor that has a single run among them are fetched, and the groups
    are sorted into suffix arrays by two-stage sorting; a start is repeated if it has a common prefix of
    ``length`` bytes with a neighbour.
-3. A group with more than ``LARGE`` different runs would burden one task: its strings are counted by their
-   128-bit digests instead, partial counts first.
+3. A group with more than ``LARGE`` different runs is split by a finer key before it is sorted: the starts of a
+   run are dealt by how far before the anchor they lie, ``WIDTHS`` places together, and with the bytes that all
+   strings of such a class have in common (180 of 200 at first) they form a group of its own. Equal strings have
+   their anchor at the same place, so they stay together; equal parts of runs are merged and counted again. Groups
+   that are still too large are split once more; with classes of one place, a group is one string.
 4. The repeated starts go back to all places of their run, and each document drops the bytes they cover.
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,9 @@ from lonja.session import materialized
 
 LENGTH = 200
 GRAM = 32
+#: Different runs sorted in one group at most, and the widths of the classes by which larger ones are split.
 LARGE = 2048
+WIDTHS = (21, 3, 1)
 #: Bytes whose anchors are searched at once, and bytes of one suffix array (whole groups, so a little more).
 CHUNK = 1 << 20
 ARRAY = 2 << 20
@@ -60,12 +66,12 @@ def _window_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def _runs(docs: DataFrame, length: int, gram: int, digests: bool) -> DataFrame:
-    """``anchor`` of every run, with ``digest, did, tag, start, n`` if wanted."""
-    names = ["anchor", "digest", "did", "tag", "start", "n"] if digests else ["anchor"]
+    """``anchor`` of every run, with ``digest, did, tag, start, n, at`` if wanted (``at``: place of the anchor in the run)."""
+    names = ["anchor", "digest", "did", "tag", "start", "n", "at"] if digests else ["anchor"]
     table = stream(11, 256)
 
     def chunk_runs(pieces: list[tuple[int, int, np.ndarray]]):
-        """``(row, first, bytes)`` pieces; yields arrays: piece, start in the piece, number of starts, anchor."""
+        """``(row, first, bytes)`` pieces; gives arrays: piece, start in the piece, number of starts, anchor and its place."""
         data = np.concatenate([x[2] for x in pieces])
         if len(data) < length:
             return None
@@ -82,7 +88,7 @@ def _runs(docs: DataFrame, length: int, gram: int, digests: bool) -> DataFrame:
         place = least[starts].astype(np.int64)
         head = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
         first, count = starts[head], np.diff(np.append(head, len(starts)))
-        return data, owner[first], first, first - begins[owner[first]], count, hashes[place[head]].view(np.int64)
+        return data, owner[first], first, first - begins[owner[first]], count, hashes[place[head]].view(np.int64), place[head] - first
 
     def emit(batch: pa.RecordBatch, pieces: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch | None:
         import xxhash
@@ -90,7 +96,7 @@ def _runs(docs: DataFrame, length: int, gram: int, digests: bool) -> DataFrame:
         found = chunk_runs(pieces)
         if found is None:
             return None
-        data, piece, first, inner, count, anchor = found
+        data, piece, first, inner, count, anchor, at = found
         if not digests:
             return pa.RecordBatch.from_arrays([pa.array(anchor)], names)
         view, stops = memoryview(data), first + count + length - 1
@@ -99,7 +105,7 @@ def _runs(docs: DataFrame, length: int, gram: int, digests: bool) -> DataFrame:
         offset = np.array([x[1] for x in pieces])[piece]
         return pa.RecordBatch.from_arrays(
             [pa.array(anchor), pa.array(marks, pa.binary()), batch.column(0).take(row), batch.column(1).take(row),
-             pa.array(inner + offset, pa.int64()), pa.array(count.astype(np.int32))], names)
+             pa.array(inner + offset, pa.int64()), pa.array(count.astype(np.int32)), pa.array(at.astype(np.int32))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -121,14 +127,18 @@ def _runs(docs: DataFrame, length: int, gram: int, digests: bool) -> DataFrame:
             if pieces and (out := emit(batch, pieces)) is not None:
                 yield out
 
-    kinds = "anchor long, digest binary, did long, tag int, start long, n int" if digests else "anchor long"
+    kinds = "anchor long, digest binary, did long, tag int, start long, n int, at int" if digests else "anchor long"
     return docs.mapInArrow(run, kinds)
 
 
+TEXTS = "key long, run long, low long, n int, at int, times long, text binary"
+
+
 def _texts(packed_docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``anchor, large, run, n, text`` for the ``wanted`` places of runs."""
-    names = ["anchor", "large", "run", "n", "text"]
-    lists = wanted.groupBy("did", "tag").agg(F.collect_list(F.struct("anchor", "large", "run", "start", "n")).alias("runs"))
+    """``TEXTS`` for the ``wanted`` places of runs (``low``: starts of the run before this part, none here)."""
+    names = ["key", "run", "low", "n", "at", "times", "text"]
+    fields = ["anchor", "run", "n", "at", "times", "start"]
+    lists = wanted.groupBy("did", "tag").agg(F.collect_list(F.struct(*fields)).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -141,17 +151,75 @@ def _texts(packed_docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 start, count = runs.field("start").to_numpy(), runs.field("n").to_numpy()
                 texts = [content[a : a + n + length - 1] for a, n in zip(start.tolist(), count.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [runs.field("anchor"), runs.field("large"), runs.field("run"), runs.field("n"), pa.array(texts, pa.binary())], names)
+                    [runs.field("anchor"), runs.field("run"), pa.array(np.zeros(len(texts), np.int64)), runs.field("n"), runs.field("at"),
+                     runs.field("times"), pa.array(texts, pa.binary())], names)
 
     # Rows that repeat id and text share a key; one of them is enough.
     joined = packed_docs.join(lists, ["did", "tag"]).select("did", "tag", "frame", "runs").dropDuplicates(["did", "tag"])
-    return joined.select("frame", "runs").mapInArrow(cut, "anchor long, large boolean, run long, n int, text binary")
+    return joined.select("frame", "runs").mapInArrow(cut, TEXTS)
+
+
+def names_of(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def _parts(texts: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Runs cut into parts whose anchor lies in one class of ``width`` places, with a finer key and a digest."""
+    names = ["key", "mark", "run", "low", "n", "at", "times", "text"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            out = []
+            for key, run, low, n, at, times, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                first = 0
+                while first < n:
+                    turn = (at - first) // width
+                    count = min(n - first, at - first - turn * width + 1)
+                    # What every string with its anchor in this class has before, at and after the anchor.
+                    core = text[at - turn * width : at + length - (turn + 1) * width + 1]
+                    part = text[first : first + count + length - 1]
+                    seed = (key * 193 + turn) % (1 << 63)
+                    out.append((xxhash.xxh64_intdigest(core, seed) - (1 << 63), xxhash.xxh3_128_digest(part), run, low + first, count,
+                                at - first, times, part))
+                    first += count
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
+
+    return texts.mapInArrow(cut, "key long, mark binary, run long, low long, n int, at int, times long, text binary")
+
+
+def _repeated_starts(texts: DataFrame, length: int, gram: int, large: int) -> DataFrame:
+    """``run, low, high``: repeated starts of the runs of ``texts`` that occur once."""
+    found = []
+    for width in (*WIDTHS, None):
+        groups = texts.groupBy("key").agg(F.count(F.lit(1)).alias("different"), F.min("times").alias("least"))
+        groups = groups.where("different > 1 AND least = 1").select("key", (F.col("different") > large).alias("large"))
+        groups = materialized(groups, "groups")
+        dealt = texts.join(groups.where("NOT large"), "key").select("key", "run", "low", "times", "text")
+        dealt = dealt.repartition("key").sortWithinPartitions("key")
+        found.append(dealt.mapInArrow(_search_groups(length), "run long, low long, high long"))
+        wide = groups.where("large").select("key")
+        # A group of strings with the same anchor, place and content is one string: the last classes leave none.
+        if width is None or wide.isEmpty():
+            break
+        parts = materialized(_parts(texts.join(wide, "key").select(*names_of(TEXTS)), length, gram, width), "parts")
+        merged = parts.groupBy("key", "mark").agg(F.sum("times").alias("times"), F.min(F.struct("run", "low", "n", "at", "text")).alias("part"))
+        merged = materialized(merged.select("key", "mark", "times", "part.*"), "merged-parts")
+        often = merged.where("times > 1").select("key", "mark")
+        # Parts of runs that occur more than once themselves are known to be repeated.
+        again = parts.where("times = 1").join(often, ["key", "mark"])
+        found.append(again.select("run", "low", (F.col("low") + F.col("n")).alias("high")))
+        texts = merged.select(*names_of(TEXTS))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _search_groups(length: int):
-    """Repeated starts ``run, low, high`` from texts in ascending order of their anchors."""
+    """Repeated starts ``run, low, high`` from ``key, run, low, times, text`` in ascending order of the keys."""
 
-    def search(runs: list[int], texts: list[bytes]) -> pa.RecordBatch:
+    def search(runs: list[int], lows: list[int], once: list[bool], texts: list[bytes]) -> pa.RecordBatch:
         sizes = np.array([len(x) for x in texts])
         # UTF-8 has no byte FF, so every byte can move up by one and leave 0 for the end.
         data = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
@@ -159,51 +227,35 @@ def _search_groups(length: int):
         owner = np.repeat(np.arange(len(texts)), sizes + 1)
         left = ends[owner] - np.arange(len(data))
         found = repeated(data, left, length)
+        found = found[np.array(once)[owner[found]]]
         text, inner = owner[found], found - (ends - sizes)[owner[found]]
         head = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (inner[1:] != inner[:-1] + 1))) if len(found) else found
         count = np.diff(np.append(head, len(found)))
-        low = inner[head]
+        low = inner[head] + np.array(lows, np.int64)[text[head]]
         numbers = np.array(runs, np.int64)[text[head]]
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(low, pa.int64()), pa.array(low + count, pa.int64())],
                                           ["run", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
-        runs, texts, size, last = [], [], 0, None
+        runs, lows, once, texts, size, last = [], [], [], [], 0, None
         for batch in batches:
-            for anchor, number, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                if anchor != last and size >= ARRAY:
-                    yield search(runs, texts)
-                    runs, texts, size = [], [], 0
+            for key, number, low, times, text in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                if key != last and size >= ARRAY:
+                    yield search(runs, lows, once, texts)
+                    runs, lows, once, texts, size = [], [], [], [], 0
                 runs.append(number)
+                lows.append(low)
+                once.append(times == 1)
                 texts.append(text)
                 size += len(text)
-                last = anchor
+                last = key
         if runs:
-            yield search(runs, texts)
+            yield search(runs, lows, once, texts)
 
     return run
 
 
-def _large_groups(texts: DataFrame, length: int) -> DataFrame:
-    """The same for groups with many runs: strings counted by digest."""
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            for number, count, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                marks = [xxhash.xxh3_128_digest(text[i : i + length]) for i in range(count)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * count, pa.int64()), pa.array(range(count), pa.int64()), pa.array(marks, pa.binary())],
-                    ["run", "low", "mark"])
-
-    rows = materialized(texts.select("run", "n", "text").mapInArrow(strings, "run long, low long, mark binary"), "strings")
-    often = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("mark")
-    often = materialized(often, "marks")
-    return rows.join(often, "mark", "left_semi").select("run", "low", (F.col("low") + 1).alias("high"))
-
-
 def _cleaned(length: int):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
 
@@ -255,23 +307,20 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     runs = _runs(rows, length, gram, True).join(often, "anchor", "left_semi")
     runs = materialized(runs, "runs")
     unique = runs.groupBy("anchor", "digest").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("did", "tag", "start", "n")).alias("place"))
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("did", "tag", "start", "n", "at")).alias("place"))
     unique = materialized(unique.withColumn("run", F.monotonically_increasing_id()), "unique-runs")
     groups = unique.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.min("times").alias("least"))
-    groups = groups.where("different > 1 AND least = 1").select("anchor", (F.col("different") > large).alias("large"))
-    groups = materialized(groups, "groups")
-    wanted = unique.join(groups, "anchor").select("anchor", "large", "run", "place.*")
-    frames = packed(rows, "text", "frame")
-    texts = materialized(_texts(frames, wanted, length), "texts")
-    dealt = texts.where("NOT large").select("anchor", "run", "text").repartition("anchor").sortWithinPartitions("anchor")
-    found = dealt.mapInArrow(_search_groups(length), "run long, low long, high long")
-    found = found.union(_large_groups(texts.where("large"), length))
-    whole = unique.where("times > 1").select("run", F.lit(0).cast("long").alias("low"), F.col("place.n").cast("long").alias("high"))
-    found = found.join(whole.select("run"), "run", "left_anti").union(whole)
-    starts = unique.select("anchor", "digest", "run").join(found, "run").select("anchor", "digest", "low", "high")
-    ranges = runs.join(starts, ["anchor", "digest"]).select(
+    groups = materialized(groups.where("different > 1 AND least = 1").select("anchor"), "anchor-groups")
+    wanted = unique.join(groups, "anchor").select("anchor", "run", "times", "place.*")
+    texts = materialized(_texts(packed(rows, "text", "frame"), wanted, length), "texts")
+    found = _repeated_starts(texts, length, gram, large)
+    single = unique.select("anchor", "digest", "run").join(found, "run").select("anchor", "digest", "low", "high")
+    whole = unique.where("times > 1").select(
+        "anchor", "digest", F.lit(0).cast("long").alias("low"), F.col("place.n").cast("long").alias("high"))
+    ranges = runs.join(single.union(whole), ["anchor", "digest"]).select(
         "did", "tag", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
-    lists = ranges.groupBy("did", "tag").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    # Rows that repeat id and text have one list: equal ranges are merged before the shuffle.
+    lists = ranges.groupBy("did", "tag").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     keyed = packed(docs.select(F.col(doc_id).cast("long").alias("doc_id"), *row_key(doc_id, text), F.col(text).alias("text")), "text", "frame")
     joined = keyed.join(lists, ["did", "tag"], "left").select("doc_id", "frame", "ranges")
     return joined.mapInArrow(

@@ -64,6 +64,29 @@ def test_repeated_spans(spark, large):
         assert {b for low, high in row.spans for b in range(low, high)} == covered[row.doc_id]
 
 
+def test_repeated_spans_of_many_near_copies(spark):
+    """More different runs of an anchor than are sorted together, and rows that repeat id and text."""
+    rng = np.random.default_rng(6)
+    page = "".join(rng.choice(list("abcdefgh "), 260))
+    texts = []
+    for i in range(5000):
+        spot = int(rng.integers(0, 256))
+        texts.append(f"{page[:spot]}{i:04d}{page[spot + 4:]}")
+    docs = list(enumerate(texts)) + [(9000, page)] * 500
+    seen = {}
+    for i, (_, text) in enumerate(docs):
+        for at in range(len(text) - 199):
+            seen.setdefault(text[at : at + 200], []).append((i, at))
+    covered = [set() for _ in docs]
+    for places in seen.values():
+        for i, at in places if len(places) > 1 else ():
+            covered[i].update(range(at, at + 200))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    rows = repeated_spans(frame, large=100).select("doc_id", "n_removed").collect()
+    expected = {doc_id: len(covered[i]) for i, (doc_id, _) in enumerate(docs)}
+    assert len(rows) == 5500 and all(r.n_removed == expected[r.doc_id] for r in rows) and len(set(expected.values())) > 5
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
 def test_code(values):
     ranks = np.array(values, np.int64)
