@@ -73,10 +73,20 @@ ORACLE["stock_incremental_filter"] = f"""
 ORACLE["attach_provenance"] = (
     f"SELECT 'catalog_csv' AS source, v AS entity, {long(LINES, 'n_lines')}, {LINES} > 1 AS is_range FROM {b.p_identifier(CATALOGUE_TEXTS, 'sku', 'v')}"
 )
-ORACLE["source_fingerprint"] = (
-    "SELECT part, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256, "
-    "CAST(0 AS BIGINT) AS changed FROM (SELECT doc_id // 500 AS part, doc_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS line FROM documents) GROUP BY part"
+FILES = (
+    "SELECT doc_id // 500 AS part, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256 "
+    "FROM (SELECT doc_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS line FROM documents) GROUP BY part"
 )
+ORACLE["source_fingerprint"] = f"""
+  WITH RECURSIVE files AS ({FILES}),
+  leaves AS (SELECT row_number() OVER (ORDER BY part) - 1 AS place, count(*) OVER () AS n,
+    sha256('file' || chr(10) || '12:' || lpad(CAST(part AS VARCHAR), 12, '0') || chr(10) || '64:' || sha256) AS sha256 FROM files),
+  tree(level, n, place, sha256) AS (
+    SELECT 0, n, place, sha256 FROM leaves UNION ALL
+    SELECT level + 1, (n + 3) // 4, place // 4, sha256('node' || chr(10) || string_agg('64:' || sha256, chr(10) ORDER BY place))
+    FROM tree WHERE n > 1 GROUP BY level, n, place // 4)
+  SELECT part, n_bytes, sha256, CAST(0 AS BIGINT) AS changed FROM files UNION ALL
+  SELECT -1, NULL, CASE WHEN n0 = 1 THEN (SELECT min(sha256) FROM files) ELSE sha256 END, NULL FROM tree, (SELECT count(*) AS n0 FROM files) WHERE n = 1"""
 ORACLE["empty_source_guard"] = "SELECT 'EMPTY_CATALOG' AS problem, 'none' AS rows_found"
 
 # --- cleaning jobs
@@ -195,6 +205,24 @@ STOCK_SHOWN = ["sku", "warehouse", "quantity", "reserved", "updated_at"]
 STOCK_MAP = "'{' || " + " || ', ' || ".join(f"'\"{c}\": ' || coalesce({e}, 'null')" for c, e in zip(STOCK_SHOWN, excerpt(STOCK_SHOWN, 70))) + " || '}'"
 SHOWN = [c for c in ORDER_COLUMNS if c != "cliente"]
 ORDER_MAP = "'{' || " + " || ', ' || ".join(f"'\"{c}\": ' || {e}" for c, e in zip(SHOWN, excerpt(SHOWN, 100))) + " || '}'"
+
+
+def place(section: str, tag: str) -> str:
+    """Locator of an element in its document of five hundred."""
+    return f"'/TarifasProveedor/{section}/{tag}[' || row_number() OVER (PARTITION BY ord // 500 ORDER BY ord) || ']' AS locator"
+
+
+VOLUME = """'<PorVolumen desdeUnidades="' || i * 10 || '">' || i || '&amp;</PorVolumen>'"""
+RULE_ELEMENTS = f"""SELECT {place('Descuentos', 'Descuento')}, range(1, ord % 15 + 2) AS terms, '<Descuento tipo="' || kind || '" valor="'
+  || replace(replace(label, '&', '&amp;'), '"', '&quot;') || ' &lt;&amp;&quot;ñ"><PorcentajeBase>' || base_text || '</PorcentajeBase>'
+  || array_to_string(list_transform(range(1, ord % 15 + 2), lambda i: {VOLUME}), '') || '</Descuento>' AS element FROM {RULE_TEXTS}"""
+TARIFF_ELEMENTS = f"""
+  SELECT locator, element FROM ({RULE_ELEMENTS}) UNION ALL
+  SELECT locator || '/PorVolumen[' || i || ']', {VOLUME} FROM (SELECT locator, unnest(terms) AS i FROM ({RULE_ELEMENTS})) UNION ALL
+  SELECT {place('Excepciones', 'Producto')}, '<Producto sku="' || sku || '"' || CASE WHEN price_text IS NULL AND flag_text IS NULL THEN ' />' ELSE
+    '>' || coalesce('<PrecioNetoAcordado>' || price_text || '</PrecioNetoAcordado>', '')
+    || coalesce('<AplicaDescuentoAdicional>' || flag_text || '</AplicaDescuentoAdicional>', '') || '</Producto>' END FROM {EXCEPTION_TEXTS} UNION ALL
+  SELECT {place('Condiciones', '*')}, '<Plazo cliente="' || c_name || '">60 días</Plazo>' FROM (SELECT c_custkey AS ord, c_name FROM customer)"""
 ORACLE["bounded_excerpt"] = (
     f"SELECT source, locator, excerpt, {small('length(excerpt)', 'n_chars')} FROM ("
     f"SELECT 'catalog_csv' AS source, CAST(ord AS VARCHAR) AS locator, left({CELL_LIST}, 512) AS excerpt FROM {CATALOGUE_TEXTS} UNION ALL "
@@ -205,7 +233,8 @@ ORACLE["bounded_excerpt"] = (
     "CASE WHEN NOT regexp_full_match(quantity, '[0-9]+') THEN quantity WHEN i % 11 = 1 THEN quantity || '.0' "
     "WHEN i % 11 = 5 THEN left(quantity, 1) || CASE WHEN length(quantity) > 1 THEN '.' || substr(quantity, 2) ELSE '' END || 'E+' || (length(quantity) + 2) "
     "ELSE quantity END AS quantity) FROM (SELECT *, ord // 100 + 1 AS page, row_number() OVER (PARTITION BY ord // 100 ORDER BY ord) - 1 AS i "
-    f"FROM {STOCK_TEXTS} WHERE ord % 2 = 0)))"
+    f"FROM {STOCK_TEXTS} WHERE ord % 2 = 0)) UNION ALL "
+    f"SELECT 'tariffs_xml', locator, left(element, 512) FROM ({TARIFF_ELEMENTS}))"
 )
 
 # --- tariffs

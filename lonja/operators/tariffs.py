@@ -158,13 +158,13 @@ def exception_dimension(exceptions: DataFrame) -> DataFrame:
 def unapplied_terms(conditions: DataFrame, volumes: DataFrame) -> DataFrame:
     """Warnings for commercial conditions and volume discounts, which are never priced.
 
-    Both inputs have ``locator, entity``; a volume term carries the key of its rule.
+    Both inputs have ``locator, entity, excerpt``; a volume term carries the key of its rule.
     """
 
     def warned(frame: DataFrame, detail: str) -> DataFrame:
         entry = issue(TARIFFS, "UNAPPLIED_TARIFF_TERM", WARN, None, DETAIL[detail])
         return frame.select(
-            F.lit(TARIFFS).alias("source"), "locator", "entity", F.array(entry).alias("issues")
+            F.lit(TARIFFS).alias("source"), "locator", "entity", F.array(entry).alias("issues"), "excerpt"
         )
 
     return warned(conditions, "condition").unionByName(warned(volumes, "volume"))

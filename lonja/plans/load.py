@@ -112,21 +112,21 @@ class Load:
     def remember(self, name: str) -> None:
         """Digest of a source before it is read."""
         self.prints[name] = self.stage(f"hash_{name}", self.fingerprint(name))
-        self.hashes[HASHES[name]] = files.source_digest(self.prints[name]).first()["sha256"]
+        self.hashes[HASHES[name]] = files.source_digest(
+            self.prints[name], files.source_root(self.prints[name])).first()["sha256"]
 
     def load_tariffs(self) -> tuple[DataFrame, DataFrame]:
-        path = self.sources.tariffs
-        documents = tariff_files.read_documents(self.spark, path)
-        problems = tariff_files.structure_problems(documents).where("problem is not null")
+        self.tariff_elements = tariff_files.read_elements(self.spark, self.sources.tariffs)
+        problems = tariff_files.structure_problems(self.tariff_elements).where("problem is not null")
         _stop_on(problems.select("problem", F.lit("/").alias("locator")), TARIFFS)
         rules = self.stage(
             "tariff_rules",
-            tariffs.deduplicate_rules(tariffs.validate_rules(tariff_files.scan_rules(self.spark, path))),
+            tariffs.deduplicate_rules(tariffs.validate_rules(tariff_files.scan_rules(self.tariff_elements))),
         )
         exceptions = self.stage(
             "tariff_exceptions",
             tariffs.deduplicate_exceptions(
-                tariffs.validate_exceptions(tariff_files.scan_exceptions(self.spark, path))
+                tariffs.validate_exceptions(tariff_files.scan_exceptions(self.tariff_elements))
             ),
         )
         for frame in (rules, exceptions):
@@ -149,19 +149,21 @@ class Load:
         chosen = catalogue.select_first_valid(parsed, judge, self.keeper("catalogue"))
         records = self.stage("catalogue_records", chosen)
         terms = tariffs.unapplied_terms(
-            tariff_files.scan_conditions(self.spark, self.sources.tariffs),
+            tariff_files.scan_conditions(self.tariff_elements),
             tariff_files.volume_terms(rules),
         )
-        plain = ["source", "locator", "entity", "issues"]
+        plain = ["source", "locator", "entity", "issues", "excerpt"]
+        # An exception without a product is no fault of its element.
+        orphans = tariffs.orphan_exceptions(exceptions, parsed).withColumn("excerpt", _no_excerpt())
         self.tariff_issues = self.stage(
             "tariff_issues",
             rules.select(plain)
             .unionByName(exceptions.select(plain))
             .unionByName(terms.select(plain))
-            .unionByName(tariffs.orphan_exceptions(exceptions, parsed).select(plain)),
+            .unionByName(orphans.select(plain)),
         )
         self.ledgers[CATALOGUE] = explode_issues(records, cells_excerpt(F.col("cells")))
-        self.ledgers[TARIFFS] = explode_issues(self.tariff_issues, _no_excerpt())
+        self.ledgers[TARIFFS] = explode_issues(self.tariff_issues, F.col("excerpt"))
         self.seen = (
             parsed.where("entity is not null and (candidate or size(issues) > 0)")
             .select(F.col("entity").alias("sku"))

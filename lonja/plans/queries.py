@@ -48,6 +48,7 @@ from lonja.vocabulary import (
     RULES_VERSION,
     STOCK,
     STOCK_FIELDS,
+    TARIFFS,
     WARN,
 )
 
@@ -113,31 +114,68 @@ def scan_orders_csv(spark, folder):
     return scanned.select(F.array_join("cells", "|").alias("cells"), _line_count())
 
 
-def _landed_xml(spark, rows: DataFrame, root: str, tag: str) -> str:
+def _escaped(value: Column, *more: tuple[str, str]) -> Column:
+    for character, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *more):
+        value = F.replace(value, F.lit(character), F.lit(entity))
+    return value
+
+
+def _attribute(name: str, value: Column) -> Column:
+    """Nothing if the value is null."""
+    text = _escaped(value, ('"', "&quot;"), ("\r", "&#13;"), ("\n", "&#10;"), ("\t", "&#09;"))
+    return F.coalesce(F.concat(F.lit(f' {name}="'), text, F.lit('"')), F.lit(""))
+
+
+def _child(name: str, value: Column) -> Column:
+    """Nothing if the value is null."""
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), _escaped(value), F.lit(f"</{name}>")), F.lit(""))
+
+
+def _element(name: str, attributes: Column, *children: Column) -> Column:
+    return F.concat(F.lit(f"<{name}"), attributes, F.lit(">"), *children, F.lit(f"</{name}>"))
+
+
+def _rule_element(*children: Column) -> Column:
+    attributes = F.concat(_attribute("tipo", F.col("kind")), _attribute("valor", F.col("label")))
+    return _element("Descuento", attributes, _child("PorcentajeBase", F.col("base_text")), *children)
+
+
+def _exception_element() -> Column:
+    children = _child("PrecioNetoAcordado", F.col("price_text")), _child("AplicaDescuentoAdicional", F.col("flag_text"))
+    return _element("Producto", _attribute("sku", F.col("sku")), *children)
+
+
+TARIFF_SIZE = 500
+
+
+def _landed_tariffs(spark, **sections: DataFrame) -> DataFrame:
+    """Elements read back from landed documents; every section has ``ord, element``, and each five hundred are a document."""
+    frames = [rows.select(F.lit(name).alias("section"), "ord", "element") for name, rows in sections.items()]
+    rows = reduce(DataFrame.unionByName, frames).withColumn("doc", F.floor(F.col("ord") / TARIFF_SIZE))
+    parts = []
+    for name in tariff_files.SECTIONS:
+        mine = F.collect_list(F.when(F.col("section") == name, F.struct("ord", "element")))  # a document's elements
+        content = F.array_join(F.transform(F.array_sort(mine), lambda e: e["element"]), "")
+        parts += [F.lit(f"<{name}>"), content, F.lit(f"</{name}>")]
+    head, foot = '<?xml version="1.0" encoding="UTF-8"?><TarifasProveedor>', "</TarifasProveedor>"
+    document = F.concat(F.lit(head), *parts, F.lit(foot))
     path = work_folder(spark, "tariffs-xml")
-    rows.write.format("xml").option("rootTag", root).option("rowTag", tag).save(path)
-    return path
+    rows.groupBy("doc").agg(document.alias("value")).write.partitionBy("doc").text(path)
+    return tariff_files.read_elements(spark, path)
 
 
 @query
 def scan_tariff_rules(spark, folder):
-    rows = samples.rule_rows(spark, folder).select(
-        F.col("kind").alias("_tipo"), F.col("label").alias("_valor"), F.col("base_text").alias("PorcentajeBase")
-    )
-    path = _landed_xml(spark, rows, "Descuentos", "Descuento")
-    return tariff_files.scan_rules(spark, path).select(
+    rows = samples.rule_rows(spark, folder).withColumn("element", _rule_element())
+    return tariff_files.scan_rules(_landed_tariffs(spark, Descuentos=rows)).select(
         "kind", F.trim("label").alias("label"), "bases", "base_text", "nested", "volumes"
     )
 
 
 @query
 def scan_tariff_exceptions(spark, folder):
-    rows = samples.exception_rows(spark, folder).select(
-        F.col("sku").alias("_sku"), F.col("price_text").alias("PrecioNetoAcordado"),
-        F.col("flag_text").alias("AplicaDescuentoAdicional"),
-    )
-    path = _landed_xml(spark, rows, "Excepciones", "Producto")
-    return tariff_files.scan_exceptions(spark, path).select(
+    rows = samples.exception_rows(spark, folder).withColumn("element", _exception_element())
+    return tariff_files.scan_exceptions(_landed_tariffs(spark, Excepciones=rows)).select(
         F.coalesce("sku", F.lit("")).alias("sku"), "prices", "price_text", "flags",
         F.trim("flag_text").alias("flag_text"),
     )
@@ -159,8 +197,10 @@ def tariff_structure_check(spark, folder):
         F.when(kind == 3, "<Otro/>").otherwise(""), F.when(kind == 5, "").otherwise("</Descuentos>"),
         F.when(kind == 2, "").otherwise("<Excepciones/>"), F.lit("</TarifasProveedor>"),
     )
-    documents = groups.select(F.col("g").cast("string").alias("path"), document.alias("document"))
-    return tariff_files.structure_problems(documents)
+    path = work_folder(spark, "tariffs-xml")
+    groups.select("g", document.alias("value")).write.partitionBy("g").text(path)
+    problems = tariff_files.structure_problems(tariff_files.read_elements(spark, path))
+    return problems.select(F.regexp_extract("path", "g=([0-9]+)/", 1).alias("path"), "problem")
 
 
 def _pages(spark, folder) -> DataFrame:
@@ -224,7 +264,7 @@ def attach_provenance(spark, folder):
 
 @query
 def source_fingerprint(spark, folder):
-    """One file per five hundred documents, in the order of their ids."""
+    """One file per five hundred documents, in the order of their ids, and the digest of all of them."""
     path = work_folder(spark, "texts")
     lines = table(spark, folder, "documents").select(
         F.floor(F.col("doc_id") / 500).alias("part"), "doc_id", F.regexp_replace("text", r"[\r\n]", " ").alias("value")
@@ -234,7 +274,11 @@ def source_fingerprint(spark, folder):
     before = files.source_fingerprint(spark, path)
     changed = files.changed_files(before, files.source_fingerprint(spark, path)).agg(F.count("*")).scalar()
     part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint")
-    return before.select(part.alias("part"), F.col("length").alias("n_bytes"), "sha256", changed.alias("changed"))
+    # File names carry a random number; in the tree, each file goes by its part.
+    named = before.withColumn("path", F.lpad(part.cast("string"), 12, "0"))
+    whole = files.source_digest(materialized(named, "prints"), fan_in=4).select("sha256")
+    each = before.select(part.alias("part"), F.col("length").alias("n_bytes"), "sha256", changed.alias("changed"))
+    return each.unionByName(whole.select(F.lit(-1).cast("bigint").alias("part"), "sha256"), allowMissingColumns=True)
 
 
 @query
@@ -477,9 +521,10 @@ def _records(spark, folder) -> dict[str, DataFrame]:
 def _terms(spark, folder) -> DataFrame:
     conditions = table(spark, folder, "customer").select(
         F.concat(F.lit("/TarifasProveedor/Condiciones/*["), F.col("c_custkey") + 1, F.lit("]")).alias("locator"),
-        F.lit(None).cast("string").alias("entity"),
+        F.lit(None).cast("string").alias("entity"), F.lit(None).cast("string").alias("excerpt"),
     )
-    return tariffs.unapplied_terms(conditions, tariff_files.volume_terms(_valid_rules(spark, folder)))
+    rules = _valid_rules(spark, folder).withColumn("volume_excerpts", F.array().cast("array<string>"))
+    return tariffs.unapplied_terms(conditions, tariff_files.volume_terms(rules))
 
 
 def _tariff_issues(spark, folder) -> DataFrame:
@@ -562,7 +607,23 @@ def bounded_excerpt(spark, folder):
     lines = samples.order_rows(spark, folder).select(
         F.lit(ORDERS).alias("source"), "locator", order_excerpt(F.col("cells")).alias("excerpt")
     )
-    return rows.unionByName(lines).unionByName(observed).withColumn("n_chars", F.length("excerpt"))
+    return reduce(DataFrame.unionByName, [rows, lines, observed, _tariff_excerpts(spark, folder)]).withColumn(
+        "n_chars", F.length("excerpt"))
+
+
+def _tariff_excerpts(spark, folder) -> DataFrame:
+    """Rules (some with many volume terms), their volume terms, exceptions and conditions."""
+    volume = F.transform(F.sequence(F.lit(1), F.pmod("ord", F.lit(15)) + 1), lambda i: _element(
+        "PorVolumen", _attribute("desdeUnidades", (i * 10).cast("string")), F.concat(i.cast("string"), F.lit("&amp;"))))
+    rules = samples.rule_rows(spark, folder).withColumn("label", F.concat("label", F.lit(' <&"ñ')))
+    rules = rules.withColumn("element", _rule_element(F.array_join(volume, "")))
+    exceptions = samples.exception_rows(spark, folder).withColumn("element", _exception_element())
+    conditions = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("ord"), _element("Plazo", _attribute("cliente", F.col("c_name")), F.lit("60 días")).alias("element"))
+    elements = _landed_tariffs(spark, Condiciones=conditions, Descuentos=rules, Excepciones=exceptions)
+    found = tariff_files.scan_rules(elements).withColumn("entity", F.lit(None).cast("string"))
+    frames = [found, tariff_files.volume_terms(found), tariff_files.scan_exceptions(elements), tariff_files.scan_conditions(elements)]
+    return reduce(DataFrame.unionByName, [frame.select(F.lit(TARIFFS).alias("source"), "locator", "excerpt") for frame in frames])
 
 
 # --- tariffs ---------------------------------------------------------------------------------------

@@ -1,148 +1,116 @@
-"""Tariff documents: structure gate, discount rules, agreed prices and terms that are never applied."""
+"""Tariff documents: structure gate, discount rules, agreed prices and terms that are never applied.
+
+All functions take the element rows of :func:`lonja.sources.xml_elements.read_elements`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lonja.session import materialized
+from lonja.sources import xml_elements
 
-RULE_SCHEMA = "_tipo string, _valor string, PorcentajeBase array<string>, PorVolumen array<string>, xs_any array<string>"
-EXCEPTION_SCHEMA = (
-    "_sku string, PrecioNetoAcordado array<string>, AplicaDescuentoAdicional array<string>, xs_any array<string>"
-)
-ROOT = "/TarifasProveedor"
+ROOT = "TarifasProveedor"
+#: Each section, and the only element it may hold.
+SECTIONS = {"Condiciones": None, "Descuentos": "Descuento", "Excepciones": "Producto"}
 DOCUMENT_SHIFT = 40
 
 
-def _elements(spark: SparkSession, path: str, tag: str, schema: str, section: str) -> DataFrame:
-    """Elements of one tag in the order of the documents' paths and of their positions in them."""
-    rows = (
-        spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
-        .select("*", F.col("_metadata.file_path").alias("_file"))
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    # Parsed once, with all columns: a plan that needs fewer of them would count the others as strange children.
-    rows = materialized(rows, "tariff-elements")
-    # A document is read in order by one task, so its row numbers ascend. One small row per document here.
-    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
-    files = files.withColumn("_document", F.row_number().over(Window.orderBy("_file")) - 1)
-    rows = rows.join(files, "_file")
-    index = F.col("_row") - F.col("_first") + 1
-    return rows.withColumns(
+def read_elements(spark: SparkSession, path: str) -> DataFrame:
+    return xml_elements.read_elements(spark, path)
+
+
+def _of(elements: DataFrame, section: str) -> DataFrame:
+    """Elements of one section, in the order of the documents' paths and of their positions."""
+    tag = SECTIONS[section]
+    # One small row per document here.
+    documents = elements.where("section IS NULL").select("path")
+    documents = documents.withColumn("_document", F.row_number().over(Window.orderBy("path")) - 1)
+    rows = elements.where((F.col("section") == section) & (F.lit(True) if tag is None else F.col("tag") == tag))
+    return rows.join(documents, "path").withColumns(
         {
-            "ord": F.shiftleft(F.col("_document").cast("bigint"), DOCUMENT_SHIFT) + index,
-            "locator": F.concat(F.lit(f"{ROOT}/{section}/{tag}["), index.cast("string"), F.lit("]")),
+            "ord": F.shiftleft(F.col("_document").cast("bigint"), DOCUMENT_SHIFT) + F.col("position"),
+            "locator": F.concat(F.lit(f"/{ROOT}/{section}/{tag or '*'}["), F.col("position").cast("string"), F.lit("]")),
         }
     )
 
 
-def _size(name: str) -> Column:
-    return F.coalesce(F.size(name), F.lit(0))
+def _named(tag: str) -> Column:
+    return F.filter("children", lambda child: child["tag"] == tag)
+
 
+def _others(*tags: str) -> Column:
+    return F.size(F.filter("children", lambda child: ~child["tag"].isin(*tags)))
 
-def _nested(text: Column) -> Column:
-    """Element content inside a text element arrives as markup."""
-    return F.coalesce(text.contains("<"), F.lit(False))
 
+def _first(children: Column, field: str) -> Column:
+    return F.get(children, F.lit(0))[field]
 
-def scan_rules(spark: SparkSession, path: str) -> DataFrame:
-    rows = _elements(spark, path, "Descuento", RULE_SCHEMA, "Descuentos")
-    base = F.get("PorcentajeBase", F.lit(0))
-    return rows.select(
+
+def scan_rules(elements: DataFrame) -> DataFrame:
+    bases, volumes = _named("PorcentajeBase"), _named("PorVolumen")
+    return _of(elements, "Descuentos").select(
         "ord",
         "locator",
-        F.col("_tipo").alias("kind"),
-        F.col("_valor").alias("label"),
-        _size("PorcentajeBase").alias("bases"),
-        base.alias("base_text"),
-        _nested(base).alias("nested"),
-        _size("xs_any").alias("other_children"),
-        _size("PorVolumen").alias("volumes"),
+        F.col("attributes")["tipo"].alias("kind"),
+        F.col("attributes")["valor"].alias("label"),
+        F.size(bases).alias("bases"),
+        _first(bases, "text").alias("base_text"),
+        F.coalesce(_first(bases, "nested"), F.lit(False)).alias("nested"),
+        _others("PorcentajeBase", "PorVolumen").alias("other_children"),
+        F.size(volumes).alias("volumes"),
+        "excerpt",
+        F.transform(volumes, lambda volume: volume["excerpt"]).alias("volume_excerpts"),
     )
 
 
-def scan_exceptions(spark: SparkSession, path: str) -> DataFrame:
-    rows = _elements(spark, path, "Producto", EXCEPTION_SCHEMA, "Excepciones")
-    price = F.get("PrecioNetoAcordado", F.lit(0))
-    return rows.select(
+def scan_exceptions(elements: DataFrame) -> DataFrame:
+    prices, flags = _named("PrecioNetoAcordado"), _named("AplicaDescuentoAdicional")
+    return _of(elements, "Excepciones").select(
         "ord",
         "locator",
-        F.col("_sku").alias("sku"),
-        _size("PrecioNetoAcordado").alias("prices"),
-        price.alias("price_text"),
-        _nested(price).alias("nested"),
-        _size("AplicaDescuentoAdicional").alias("flags"),
-        F.get("AplicaDescuentoAdicional", F.lit(0)).alias("flag_text"),
-        _size("xs_any").alias("other_children"),
+        F.col("attributes")["sku"].alias("sku"),
+        F.size(prices).alias("prices"),
+        _first(prices, "text").alias("price_text"),
+        F.coalesce(_first(prices, "nested"), F.lit(False)).alias("nested"),
+        F.size(flags).alias("flags"),
+        _first(flags, "text").alias("flag_text"),
+        _others("PrecioNetoAcordado", "AplicaDescuentoAdicional").alias("other_children"),
+        "excerpt",
     )
 
 
-def scan_conditions(spark: SparkSession, path: str) -> DataFrame:
-    """Children of the conditions section: ``locator, entity``."""
-    rows = spark.read.format("xml").option("rowTag", "Condiciones").schema("xs_any array<string>").load(path)
-    return rows.select(F.posexplode("xs_any").alias("i", "content")).select(
-        F.concat(F.lit(f"{ROOT}/Condiciones/*["), F.col("i") + 1, F.lit("]")).alias("locator"),
-        F.lit(None).cast("string").alias("entity"),
-    )
+def scan_conditions(elements: DataFrame) -> DataFrame:
+    """Children of the conditions section: ``locator, entity, excerpt``."""
+    return _of(elements, "Condiciones").select("locator", F.lit(None).cast("string").alias("entity"), "excerpt")
 
 
 def volume_terms(rules: DataFrame) -> DataFrame:
-    """Volume terms of validated rules (``locator, entity, volumes``), which carry the key of their rule."""
+    """Volume terms of validated rules (``locator, entity, volumes, volume_excerpts``), with the key of their rule."""
     return rules.where("volumes > 0").select(
-        F.explode(F.sequence(F.lit(1), "volumes")).alias("i"), "locator", "entity"
+        F.explode(F.sequence(F.lit(1), "volumes")).alias("i"), "locator", "entity", "volume_excerpts"
     ).select(
-        F.concat("locator", F.lit("/PorVolumen["), F.col("i"), F.lit("]")).alias("locator"), "entity"
-    )
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select(
-        "path", F.col("content").cast("string").alias("document")
+        F.concat("locator", F.lit("/PorVolumen["), F.col("i"), F.lit("]")).alias("locator"), "entity",
+        F.get("volume_excerpts", F.col("i") - 1).alias("excerpt"),
     )
 
 
-def structure_problems(documents: DataFrame) -> DataFrame:
-    """``problem`` per document: NULL if it is UTF-8, well formed and has the expected sections."""
-    text = F.regexp_replace("document", "^﻿", "")
-    declared = F.regexp_extract(text, r"""^\s*<\?xml\s+[^?]*?\bencoding\s*=\s*['"](.*?)['"]""", 1)
-    rows = documents.withColumns(
-        {
-            "_valid": F.is_valid_utf8("document"),
-            "_text": text,
-            "_encoding": F.lower(declared),
-        }
-    )
-    parsed = F.from_xml(
-        "_text", "xs_any array<string>, _corrupt_record string", {"mode": "PERMISSIVE"}
-    )
-    rows = rows.withColumn("_safe", F.col("_valid") & ~F.col("_text").rlike("(?i)<!DOCTYPE"))
-    rows = rows.withColumn(
-        "_broken",
-        F.when(F.col("_safe"), F.coalesce(parsed["_corrupt_record"].isNotNull(), F.lit(True))),
-    )
-
-    def count(query: str) -> Column:
-        return F.xpath_int("_text", F.lit(f"count({query})"))
-
-    named = {n: count(f"{ROOT}/{n}") for n in ("Condiciones", "Descuentos", "Excepciones")}
-    all_sections = count("/*/*")
+def structure_problems(elements: DataFrame) -> DataFrame:
+    """``problem`` per document: NULL if it is UTF-8, well formed and has the expected sections and elements."""
+    sections = F.col("sections")
     sections_good = (
-        (count(ROOT) == 1)
-        & (named["Condiciones"] <= 1)
-        & (named["Descuentos"] == 1)
-        & (named["Excepciones"] == 1)
-        & (all_sections == named["Condiciones"] + named["Descuentos"] + named["Excepciones"])
-    )
-    strangers = count(f"{ROOT}/Descuentos/*[not(self::Descuento)]") + count(
-        f"{ROOT}/Excepciones/*[not(self::Producto)]"
+        (F.col("root") == ROOT)
+        & (F.size(F.array_distinct(sections)) == F.size(sections))
+        & (F.size(F.array_except(sections, F.array(*map(F.lit, SECTIONS)))) == 0)
+        & F.array_contains(sections, "Descuentos")
+        & F.array_contains(sections, "Excepciones")
     )
+    expected = F.create_map(*[F.lit(x) for pair in SECTIONS.items() if pair[1] for x in pair])
+    strangers = elements.where(F.col("tag") != expected[F.col("section")]).select("path").distinct()
+    documents = elements.where("section IS NULL").join(strangers.withColumn("_stranger", F.lit(True)), "path", "left")
     problem = (
-        F.when(~F.col("_valid"), "INVALID_ENCODING")
-        .when((F.col("_encoding") != "") & ~F.col("_encoding").isin("utf-8", "utf8"), "INVALID_ENCODING")
-        .when(~F.col("_safe"), "INVALID_XML")
-        .when(F.col("_broken"), "INVALID_XML")
+        F.when(F.col("problem").isNotNull(), F.col("problem"))
         .when(~sections_good, "INVALID_XML")
-        .when(strangers > 0, "INVALID_TARIFF")
+        .when(F.col("_stranger"), "INVALID_TARIFF")
     )
-    return rows.select("path", problem.alias("problem"))
+    return documents.select("path", problem.alias("problem"))
