@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lonja.functions import dates, numbers, text
 from lonja.functions.parser import parse
-from lonja.operators.grouping import attach_group, lookup
+from lonja.operators.grouping import lookup
 from lonja.operators.issues import issue, issue_list, stock_excerpt
 from lonja.vocabulary import DEDUPLICATE, MAX_LONG, REJECT, STOCK, STOCK_FIELDS, WARN
 
@@ -17,14 +17,14 @@ VERSION = ["sku", "warehouse", "updated_at", "quantity", "reserved"]
 def validate_observations(observations: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Raw text fields with ``ord, locator`` against the accepted catalogue SKUs (``sku``).
 
-    ``excerpt`` comes with the rows, or shows the five fields.
+    ``excerpt`` comes with the rows; where it does not, the five raw fields stay in ``raw`` (see ``ledger_excerpt``).
 
     ``invalidates`` marks a bad observation of a known SKU: its total cannot be trusted. A SKU that is
     unusable or not in the catalogue is rejected before its other fields are looked at.
     """
     raw = {name: F.col(name) for name in STOCK_FIELDS}
     if "excerpt" not in observations.columns:
-        observations = observations.withColumn("excerpt", stock_excerpt(raw))
+        observations = observations.withColumn("raw", F.struct(*STOCK_FIELDS))
     rows = parse(
         observations,
         {
@@ -67,17 +67,22 @@ def validate_observations(observations: DataFrame, catalogue: DataFrame) -> Data
     ).drop("_known", *[f"_{name}" for name in STOCK_FIELDS])
 
 
+def ledger_excerpt(rows: DataFrame) -> Column:
+    """The raw excerpt of validated rows; computed where it is asked for, which is for rows with issues only."""
+    return F.col("excerpt") if "excerpt" in rows.columns else stock_excerpt({name: F.col("raw")[name] for name in STOCK_FIELDS})
+
+
 def reconcile_versions(rows: DataFrame) -> DataFrame:
     """Settle which observation of each SKU and warehouse counts.
 
     Equal versions collapse to the first; different versions at one instant conflict and are all rejected;
-    of the rest only the one at the newest instant of the warehouse is accepted.
+    of the rest only the one at the newest instant of the warehouse is accepted. All decisions are aggregates over
+    the five narrow columns; the rows themselves are joined once, with their version.
     """
     versions = rows.where("valid").groupBy(*VERSION).agg(F.min("ord").alias("_first"))
-    instants = versions.groupBy("sku", "warehouse", "updated_at").agg(
-        (F.count("*") > 1).alias("_conflict")
-    )
-    instants = attach_group(instants, ["sku", "warehouse"], F.max("updated_at").alias("_latest"))
+    instants = versions.groupBy("sku", "warehouse", "updated_at").agg((F.count("*") > 1).alias("_conflict"))
+    latest = instants.groupBy("sku", "warehouse").agg(F.max("updated_at").alias("_latest"))
+    instants = lookup(instants, latest, ["sku", "warehouse"])
     settled = lookup(versions, instants, ["sku", "warehouse", "updated_at"])
     joined = lookup(rows, settled, VERSION)
     ok = F.col("valid")
@@ -127,15 +132,28 @@ def conflict_warnings(reconciled: DataFrame) -> DataFrame:
     )
 
 
-def stock_totals(reconciled: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Per catalogue SKU: known total with its instant, unknown, or invalid; with the warnings."""
-    accepted = F.col("outcome") == "accepted"
-    per_sku = reconciled.where(F.col("sku").isNotNull()).groupBy("sku").agg(
-        F.sum(F.when(accepted, F.col("quantity")).cast("decimal(38,0)")).alias("_total"),
-        F.max(F.when(accepted, F.col("updated_at"))).alias("_as_of"),
-        F.max(F.col("invalidates") | F.col("conflicting")).alias("_invalid"),
-    )
-    rows = lookup(catalogue.select("sku").distinct(), per_sku, ["sku"])
+def stock_totals(observations: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Per catalogue SKU: known total with its instant, unknown, or invalid; with the warnings.
+
+    From validated observations, reconciled or not: one aggregate per instant (which tells whether versions differ),
+    one per warehouse (its newest instant) and one per SKU, each combined before its shuffle. The catalogue joins
+    in as rows of the last one.
+    """
+    version = F.struct("quantity", "reserved")
+    valid = F.when(F.col("valid"), version)
+    # Bad observations keep their SKU only.
+    place = [F.when(F.col("valid"), F.col(name)).alias(name) for name in ("warehouse", "updated_at")]
+    instants = observations.where(F.col("sku").isNotNull()).groupBy("sku", *place).agg(
+        F.min(valid).alias("low"), F.max(valid).alias("high"), F.max("invalidates").alias("bad"))
+    warehouses = instants.withColumn("bad", F.col("bad") | F.coalesce(F.col("low") != F.col("high"), F.lit(False))).groupBy(
+        "sku", "warehouse").agg(
+        F.max_by("low.quantity", "updated_at").alias("quantity"), F.max("updated_at").alias("updated_at"), F.max("bad").alias("bad"))
+    parts = warehouses.select("sku", "quantity", "updated_at", "bad", F.lit(False).alias("listed")).unionByName(
+        catalogue.select("sku", F.lit(True).alias("listed")), allowMissingColumns=True)
+    rows = parts.groupBy("sku").agg(
+        F.sum(F.col("quantity").cast("decimal(38,0)")).alias("_total"), F.max("updated_at").alias("_as_of"),
+        F.max("bad").alias("_invalid"), F.max("listed").alias("_listed"),
+    ).where("_listed")
     overflow = F.col("_total") > F.lit(MAX_LONG).cast("decimal(19,0)")
     invalid = F.coalesce(F.col("_invalid"), F.lit(False)) | F.coalesce(overflow, F.lit(False))
     status = F.when(invalid, "invalid").when(F.col("_total").isNull(), "unknown").otherwise("known")

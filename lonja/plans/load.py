@@ -192,7 +192,7 @@ class Load:
         totals = self.stage("stock_totals", stock.stock_totals(records, skus))
         conflicts = stock.conflict_warnings(records)
         self.ledgers[STOCK] = (
-            explode_issues(records, F.col("excerpt"))
+            explode_issues(records, stock.ledger_excerpt(records))
             .unionByName(explode_issues(totals, _no_excerpt()))
             .unionByName(explode_issues(conflicts, _no_excerpt()))
         )

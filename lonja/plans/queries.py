@@ -560,7 +560,7 @@ def _ledger(spark, folder, records: dict[str, DataFrame] | None = None) -> DataF
         [
             explode_issues(records[CATALOGUE], cells_excerpt(F.col("cells"))),
             explode_issues(records[ORDERS], order_excerpt(F.col("cells"))),
-            explode_issues(reconciled, F.col("excerpt")),
+            explode_issues(reconciled, stock.ledger_excerpt(reconciled)),
             explode_issues(totals, nothing),
             explode_issues(stock.conflict_warnings(reconciled), nothing),
             explode_issues(_tariff_issues(spark, folder), nothing),
@@ -805,7 +805,7 @@ def stock_latest_version(spark, folder):
 
 @query
 def stock_totals(spark, folder):
-    rows = _reconciled_stock(spark, folder)
+    rows = _checked_stock(spark, folder)
     return stock.stock_totals(rows, _stock_catalogue(spark, folder)).select(
         "sku", "stock_total", "stock_status", "stock_as_of"
     )
