@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lonja.functions import dates, numbers, text
 from lonja.functions.parser import parse
-from lonja.operators.grouping import attach_group
+from lonja.operators.grouping import attach_group, lookup
 from lonja.operators.issues import ISSUE, issue, issue_list, json_text
 from lonja.vocabulary import (
     BUSINESS_ZONE,
@@ -44,6 +44,7 @@ def parse_order_rows(scanned: DataFrame, zone: str = BUSINESS_ZONE) -> DataFrame
 
     ``entity`` is the order ID (NULL if unusable); ``grouped`` marks the rows that take part in their
     order. Header cells become ``h_date, h_customer, h_channel, h_status``; line cells keep their codes.
+    ``line_key`` is the signature of the line cells of a grouped row where all of them are usable.
     """
     cells = F.col("cells")
 
@@ -94,10 +95,27 @@ def parse_order_rows(scanned: DataFrame, zone: str = BUSINESS_ZONE) -> DataFrame
         "line_quantity",
         "line_price",
         "line_discount",
+        F.when(aligned & F.col("_id.value").isNotNull() & _usable_line(), _signature(F.col("_id.value"))).alias("line_key"),
         issues.alias("issues"),
     )
 
 
+def _usable_line() -> Column:
+    """Whether the line cells can be used, whatever the header says."""
+    required = [F.col(f"line_{name}.value").isNotNull() for name in ("sku", "quantity", "price")]
+    return required[0] & required[1] & required[2] & F.col("line_discount.code").isNull()
+
+
+def _discount() -> Column:
+    return F.coalesce(F.col("line_discount.value"), F.lit(0).cast(numbers.RATIO))
+
+
+def _signature(order_id: Column) -> Column:
+    return line_signature(
+        order_id, F.col("line_sku.value"), F.col("line_quantity.value"), F.col("line_price.value"), _discount()
+    )
+
+
 def header_aggregates() -> list[Column]:
     """What a group of rows must know to settle its header."""
     grouped = F.col("grouped")
@@ -134,16 +152,23 @@ def header_errors() -> Column:
     return F.array_sort(F.array_compact(F.array(*entries)))
 
 
+def _order_group() -> Column:
+    """The order of a row; a row without a usable order ID is a group of its own."""
+    return F.coalesce("entity", F.concat(F.lit("\x00"), "locator"))
+
+
 def resolve_headers(rows: DataFrame) -> DataFrame:
     """Settle date, customer, channel and status per order and attach them to its rows.
 
     Any error rejects all rows of the order, with every error reported on every row. Else a blank cell
     takes the value of its order, with one warning per blank cell.
     """
-    with_id = rows.withColumn("_group", F.coalesce("entity", F.concat(F.lit("\x00"), "locator")))
-    rows = attach_group(with_id, ["_group"], *header_aggregates()).withColumn(
-        "_errors", header_errors()
-    )
+    return settle_headers(attach_group(rows.withColumn("_group", _order_group()), ["_group"], *header_aggregates()))
+
+
+def settle_headers(rows: DataFrame) -> DataFrame:
+    """The same for rows that carry the aggregates of their order already."""
+    rows = rows.withColumn("_errors", header_errors())
     bad = F.col("grouped") & (F.size("_errors") > 0)
     rows = rows.withColumn("header_ok", F.col("grouped") & (F.size("_errors") == 0))
     per_error = F.transform(
@@ -177,7 +202,7 @@ def resolve_headers(rows: DataFrame) -> DataFrame:
             **{name: F.when(F.col("header_ok"), value) for name, value in settled.items()},
             "issues": F.concat("issues", per_error, issue_list(*inherited)),
         }
-    ).drop(*[c for c in rows.columns if c.startswith(("g_", "_"))], "h_date", "h_customer", "h_channel", "h_status")
+    ).drop(*[c for c in rows.columns if c.startswith("g_")], "_errors", "_group", "h_date", "h_customer", "h_channel", "h_status")
 
 
 def validate_lines(rows: DataFrame) -> DataFrame:
@@ -217,7 +242,7 @@ def validate_lines(rows: DataFrame) -> DataFrame:
             "sku": F.col("line_sku.value"),
             "quantity": quantity["value"],
             "unit_price": F.col("line_price.value"),
-            "discount": F.coalesce(discount["value"], F.lit(0).cast(numbers.RATIO)),
+            "discount": _discount(),
             "issues": F.concat("issues", added),
         }
     ).drop(*[f"_{name}" for name in codes], "line_sku", "line_quantity", "line_price", "line_discount")
@@ -237,15 +262,26 @@ def line_signature(
     return F.sha2(text_, 256)
 
 
+def _line_group() -> Column:
+    """The line of a row within its order; unusable lines of an order are one group."""
+    return F.coalesce("line_key", F.lit(""))
+
+
+def _first_line() -> Column:
+    return F.min_by(F.struct("ord", "locator"), "ord").alias("_kept")
+
+
 def deduplicate_lines(rows: DataFrame) -> DataFrame:
     """Keep the first line per signature and order; ``outcome`` is set for every row of the source."""
-    signature = line_signature(
-        F.col("entity"), F.col("sku"), F.col("quantity"), F.col("unit_price"), F.col("discount")
-    )
-    rows = rows.withColumn(
-        "line_key", F.when(F.col("line_ok"), signature)
-    ).withColumn("_line", F.coalesce("line_key", F.concat(F.lit("\x00"), "locator")))
-    rows = attach_group(rows, ["_line"], F.min_by(F.struct("ord", "locator"), "ord").alias("_kept"))
+    rows = rows.withColumns({"_group": _order_group(), "_line": _line_group()})
+    return settle_lines(attach_group(rows, ["_group", "_line"], _first_line()))
+
+
+def settle_lines(rows: DataFrame) -> DataFrame:
+    """The same for rows that carry the first row of their line already.
+
+    Lines with one signature share their order, so either all of them are good or none is.
+    """
     first = F.col("line_ok") & (F.col("ord") == F.col("_kept.ord"))
     repeat = F.col("line_ok") & ~first
     entry = issue(
@@ -254,10 +290,22 @@ def deduplicate_lines(rows: DataFrame) -> DataFrame:
     )
     return rows.withColumns(
         {
+            "line_key": F.when(F.col("line_ok"), F.col("line_key")),
             "outcome": F.when(first, "accepted").when(repeat, "deduplicated").otherwise("rejected"),
             "issues": F.concat("issues", issue_list((repeat, entry))),
         }
-    ).drop("_line", "_kept")
+    ).drop("_group", "_line", "_kept")
+
+
+def line_groups(parsed: DataFrame) -> DataFrame:
+    """What the lines of every order must know of their group: the header's aggregates and the line's first row.
+
+    Both are aggregates over narrow columns, combined before their shuffle; orders are joined to their lines here,
+    so that the wide rows are joined once.
+    """
+    headers = parsed.groupBy(_order_group().alias("_group")).agg(*header_aggregates())
+    lines = parsed.groupBy(_order_group().alias("_group"), _line_group().alias("_line")).agg(_first_line())
+    return lookup(lines, headers, ["_group"])
 
 
 def select_orders(
@@ -267,10 +315,12 @@ def select_orders(
 ) -> DataFrame:
     """From raw cells to every source row with its outcome, settled header, line values and issues.
 
-    Parsed and validated rows are each read twice by the next step; ``keep`` may write them out.
+    Parsed rows are read by both aggregates and by the join with them; ``keep`` may write them and the groups out.
     """
     parsed = keep(parse_order_rows(scanned, zone))
-    return deduplicate_lines(keep(validate_lines(resolve_headers(parsed))))
+    rows = parsed.withColumns({"_group": _order_group(), "_line": _line_group()})
+    rows = lookup(rows, keep(line_groups(parsed)), ["_group", "_line"])
+    return settle_lines(validate_lines(settle_headers(rows)))
 
 
 def order_headers(selected: DataFrame) -> DataFrame:
