@@ -6,7 +6,10 @@ task. Here a file is cut at line starts into chunks of bounded size, whatever th
 1. Every chunk is probed once for its number of lines and for whether it ends inside a quoted field, for
    both cases of how it may begin.
 2. The probes of a file, one small row per chunk, are chained in order, which tells how each chunk begins.
-3. Every chunk is parsed on its own; it owns the records that start in it.
+3. Every chunk is parsed on its own; it owns the records that start in it. A chunk without any quote is handed to
+   Spark as text, in pieces of whole lines, and split there; the others go through the csv module.
+
+A line ends with LF, CRLF or a single CR, as for the csv module.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from lonja.sources.files import BLOCK, MAX_TASKS, list_files, open_file
 
 CHUNK = 32 << 20
 ROWS_PER_BATCH = 5_000
+#: Bytes of lines that Spark splits at once.
+PIECE = 1 << 20
+LINE_END = re.compile(rb"\r\n|\r|\n")
 # Order of a record: number of its file times more than any position in a file, plus its position.
 POSITIONS = Decimal(2**63)
 ORD = "decimal(38,0)"
@@ -35,6 +41,7 @@ PROBE = pa.schema(
         ("lines", pa.int64()),
         ("open_after_closed", pa.bool_()),
         ("open_after_open", pa.bool_()),
+        ("plain", pa.bool_()),
     ]
 )
 RECORD = pa.schema(
@@ -45,6 +52,7 @@ RECORD = pa.schema(
         ("end_line", pa.int64()),
         ("cells", pa.list_(pa.string())),
         ("problem", pa.string()),
+        ("text", pa.string()),
     ]
 )
 
@@ -59,9 +67,11 @@ def _line_start(stream, offset: int, length: int) -> int:
         block = stream.read(BLOCK)
         if not block:
             break
-        found = block.find(b"\n")
-        if found >= 0:
-            return position + found + 1
+        found = LINE_END.search(block)
+        if found:
+            # The LF of a CRLF may be the first byte of the next block.
+            cut = found.end() == len(block) and block.endswith(b"\r")
+            return position + found.end() + (cut and stream.read(1) == b"\n")
         position += len(block)
     return length
 
@@ -96,7 +106,7 @@ def _probe(chunk: int, separator: str):
                 lines = data.count(b"\n") + data.count(b"\r") - data.count(b"\r\n")
                 body = data[len(BOM):] if start == 0 and data.startswith(BOM) else data
                 closed, opened = _ends_open(body, quoted_field), _ends_open(b'"' + body, quoted_field)
-                rows.append(dict(zip(PROBE.names, (path, start, lines, closed, opened))))
+                rows.append(dict(zip(PROBE.names, (path, start, lines, closed, opened, b'"' not in data))))
             yield pa.RecordBatch.from_pylist(rows, schema=PROBE)
 
     return run
@@ -117,7 +127,7 @@ def _chain(probes: DataFrame) -> DataFrame:
     )
     ended = base.withColumn("_open", (F.coalesce("_base", F.lit(0)) + F.col("_turns")) % 2)
     return ended.select(
-        "path", "start",
+        "path", "start", "plain",
         F.coalesce(F.lag("_open").over(order), F.lit(0)).alias("opens"),
         F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("lines_before"),
     )
@@ -132,18 +142,20 @@ class _Lines:
         self.count = 0
         self.pending = data.splitlines(keepends=True)[::-1]
         self.prefix = '"' if inside else ""
+        self.rest = b""
 
     def _refill(self) -> bool:
-        data = self.stream.read(BLOCK)
-        if not data:
-            return False
-        while not data.endswith(b"\n"):
-            more = self.stream.read(BLOCK)
-            if not more:
+        lines: list[bytes] = []
+        while not lines:
+            data = self.stream.read(BLOCK)
+            lines = (self.rest + data).splitlines(keepends=True)
+            self.rest = b""
+            if not data:
                 break
-            data += more
-        self.pending = data.splitlines(keepends=True)[::-1]
-        return True
+            if not lines[-1].endswith(b"\n"):  # a line that goes on, or a CR whose LF may follow
+                self.rest = lines.pop()
+        self.pending = lines[::-1]
+        return bool(lines)
 
     def __iter__(self):
         return self
@@ -162,10 +174,44 @@ class _Lines:
         return prefix + text
 
 
-def _records(path, start, length, opens, lines_before, chunk, separator, encoding, header):
+def _pieces(path, start, first, data, lines_before, separator, encoding, header):
+    """Whole lines of a chunk without quotes, as text for Spark to split; None where the csv module must judge."""
+    limit = csv.field_size_limit()
+    lines = data.splitlines(keepends=True)
+    if lines and max(map(len, lines)) >= limit:
+        return None
+    try:
+        texts = data.removeprefix(BOM if start == 0 and encoding == "utf-8" else b"").decode(encoding)
+    except UnicodeError:
+        return None
+    position, line, rows = first, lines_before + 1, []
+    if start == 0:
+        head = LINE_END.split(texts.encode(encoding), maxsplit=1)[0].decode(encoding)
+        if head.split(separator) != header:
+            return None
+        position, line, lines = position + len(lines[0]), 2, lines[1:]
+    at = 0
+    while at < len(lines):
+        stop, size = at, 0
+        while stop < len(lines) and size < PIECE:
+            size += len(lines[stop])
+            stop += 1
+        text = b"".join(lines[at:stop])
+        # The end of the last line would begin another one.
+        last = lines[stop - 1]
+        text = text[: len(text) - (len(last) - len(last.rstrip(b"\r\n")) if last.strip(b"\r\n") else len(last))]
+        rows.append((path, position, line, line, None, None, text.decode(encoding)))
+        position, line, at = position + size, line + stop - at, stop
+    return rows
+
+
+def _records(path, start, length, opens, lines_before, plain, chunk, separator, encoding, header):
     """The records that start in one chunk; a structural problem ends the chunk with one marked row."""
     with open_file(path) as stream:
         first, data = _region(stream, start, chunk, length)
+        if plain and not opens and (pieces := _pieces(path, start, first, data, lines_before, separator, encoding, header)) is not None:
+            yield from pieces
+            return
         lines = _Lines(stream, first, data, encoding, bool(opens))
         end = lines.end
         reader = csv.reader(lines, delimiter=separator, strict=True)
@@ -175,7 +221,7 @@ def _records(path, start, length, opens, lines_before, chunk, separator, encodin
             if start == 0:
                 found = next(reader, None)
                 if found != header:
-                    yield path, 0, 1, max(1, lines.count), None, "INVALID_HEADER"
+                    yield path, 0, 1, max(1, lines.count), None, "INVALID_HEADER", None
                     return
             elif opens:
                 next(reader, None)
@@ -185,11 +231,11 @@ def _records(path, start, length, opens, lines_before, chunk, separator, encodin
                 cells = next(reader, None)
                 if cells is None:
                     return
-                yield path, position, at, lines_before + lines.count, cells, None
+                yield path, position, at, lines_before + lines.count, cells, None, None
         except UnicodeError:
-            yield path, position, at, at, None, "INVALID_ENCODING"
+            yield path, position, at, at, None, "INVALID_ENCODING", None
         except csv.Error:
-            yield path, position, at, max(at, lines_before + lines.count), None, "INVALID_CSV"
+            yield path, position, at, max(at, lines_before + lines.count), None, "INVALID_CSV", None
 
 
 def _parse(chunk: int, separator: str, encoding: str, header: list[str]):
@@ -247,17 +293,25 @@ def read_located_csv(
     ).repartition(tasks, "path", "start")
     probes = chunks.mapInArrow(
         _probe(chunk, separator),
-        "path string, start bigint, lines bigint, open_after_closed boolean, open_after_open boolean",
+        "path string, start bigint, lines bigint, open_after_closed boolean, open_after_open boolean, plain boolean",
     )
     located = (
         _chain(probes)
         .join(files, "path")
-        .select("path", "start", "length", "opens", "lines_before")
+        .select("path", "start", "length", "opens", "lines_before", "plain")
         .repartition(tasks, "path", "start")
     )
     records = located.mapInArrow(
         _parse(chunk, separator, encoding, header),
-        "path string, position bigint, start_line bigint, end_line bigint, cells array<string>, problem string",
+        "path string, position bigint, start_line bigint, end_line bigint, cells array<string>, problem string, text string",
+    )
+    # The lines of a piece: the n-th one begins at least n bytes after the piece, so its position may count lines.
+    records = records.select("*", F.posexplode_outer(F.split("text", "\r\n|\r|\n")).alias("_n", "_line"))
+    own = F.when(F.col("_line") == "", F.array().cast("array<string>")).otherwise(F.split("_line", re.escape(separator)))
+    number = F.coalesce("_n", F.lit(0))
+    records = records.select(
+        "path", (F.col("position") + number).alias("position"), (F.col("start_line") + number).alias("start_line"),
+        (F.col("end_line") + number).alias("end_line"), F.when(F.col("text").isNull(), F.col("cells")).otherwise(own).alias("cells"), "problem",
     )
     line = F.when(
         F.col("start_line") == F.col("end_line"), F.col("start_line").cast("string")

@@ -47,6 +47,39 @@ def test_located_csv_cuts_anywhere(spark, tmp_path, chunk):
     assert [(r.locator, r.cells) for r in got] == plain(path, ";", "latin-1")
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("chunk", [9, 64, 1 << 20])
+def test_line_ends_and_plain_chunks(spark, tmp_path, monkeypatch, end, chunk):
+    """Chunks with and without quotes in one file, blank lines, a last line without an end; in blocks of a few bytes."""
+    for module in (located_csv, files):
+        monkeypatch.setattr(module, "BLOCK", 5)
+    monkeypatch.setattr(located_csv, "PIECE", 30)
+    rng = random.Random(chunk)
+    lines = [",".join(ORDER_COLUMNS)]
+    for i in range(90):
+        lines.append(",".join(rng.choice(["ñ", "", " b", "ccc"]) for _ in range(rng.choice([9, 9, 2]))) if i % 7 else "")
+        if 30 < i < 40:
+            lines[-1] += f',"q{end}""{i}"'
+    for name, last in (("open", "x,y"), ("closed", "")):
+        path = tmp_path / f"{name}.csv"
+        path.write_bytes(end.join([*lines, last]).encode())
+        got = list(located_csv._records(str(path), 0, path.stat().st_size, 0, 0, False, 1 << 30, ",", "utf-8", ORDER_COLUMNS))
+        expected = plain(path, ",", "utf-8")
+        assert [(str(r[2]) if r[2] == r[3] else f"{r[2]}-{r[3]}", r[4]) for r in got] == expected
+        rows = tables.scan_orders(spark, str(path), chunk).orderBy("ord").collect()
+        assert [(r.locator, r.cells) for r in rows] == expected and len({r.ord for r in rows}) == len(rows)
+
+
+def test_bare_cr_is_read_in_bounded_chunks(tmp_path):
+    """No chunk of a file without LF holds more than its own lines."""
+    path = tmp_path / "r.csv"
+    path.write_bytes((",".join(ORDER_COLUMNS) + "\r").encode() + b"a,b,c\r" * 400_000)
+    with files.open_file(str(path)) as stream:
+        for start in range(0, path.stat().st_size, 1 << 18):
+            first, data = located_csv._region(stream, start, 1 << 18, path.stat().st_size)
+            assert len(data) <= (1 << 18) + 6 and (first == 0 or first >= start) and data.endswith(b"\r")
+
+
 def test_csv_contract(spark, tmp_path):
     path = tmp_path / "o.csv"
     path.write_bytes(b"\xef\xbb\xbf" + ",".join(ORDER_COLUMNS).encode() + b"\r\nA,1\r\n\r\nB")
