@@ -11,7 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lonja.llm import near_join
+from lonja.llm import exact_dedup, near_join
 from lonja.llm.curriculum import SCHEDULES, _inverse
 from lonja.llm.packing import Limits, best_fit
 from lonja.llm.queries import op8_mix_sources
@@ -243,3 +243,37 @@ def test_mix_query_has_positions(spark):
     firsts = [r.positions[0] for r in rows if r.positions]
     assert firsts == sorted(firsts) and all(not r.positions for r in rows[len(firsts):])
     assert max(len(r.positions) for r in rows) > 1
+
+
+def test_runs_are_merged_not_sorted(monkeypatch):
+    """Every level gets sorted runs and only merges them; digests that begin alike and equal digests that differ otherwise."""
+    rng = np.random.default_rng(9)
+    firsts = rng.integers(0, 40, 2000)
+    rows = [(int(i) if i % 5 else None, bytes([int(f)]) * 8 + bytes([int(g)]) * 24, int(h), 0)
+            for i, f, g, h in zip(rng.permutation(2000), firsts, rng.integers(0, 3, 2000), rng.integers(0, 2, 2000), strict=True)]
+    expected = {}
+    for doc_id, digest, length, _ in rows:
+        n, least = expected.get((digest, length), (0, None))
+        expected[digest, length] = n + 1, doc_id if least is None else least if doc_id is None else min(least, doc_id)
+    columns = list(zip(*rows, strict=True))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), *(pa.array(c, pa.int64()) for c in columns[2:])],
+        ["doc_id", "digest", "length", "second"])
+    runs = [exact_dedup.sorted_run(batch.slice(at, 130)) for at in range(0, 2000, 130)]
+    monkeypatch.setattr(np, "argsort", None)
+    assert all((run["d0"][1:] >= run["d0"][:-1]).all() for run in runs)
+    merged = exact_dedup.merge_many(runs)
+    found = {}
+    for e in merged:
+        digest = b"".join(int(e[f]).to_bytes(8, "big") for f in ("d0", "d1", "d2", "d3"))
+        found[digest, int(e["length"])] = int(e["size"]), None if e["none"] else int(e["least"])
+    assert found == expected and len(merged) == len(found)
+
+
+def test_tree_of_many_places(spark):
+    """More places than one round joins; every text once, with its count and smallest id."""
+    docs = spark.range(5000).select("id", F.concat(F.lit("text "), F.col("id") % 700).alias("text")).repartition(13)
+    marks = exact_dedup.digests(docs, "id")
+    rows = exact_dedup.merge_runs(marks, rows_per_place=100).collect()
+    sizes = {i: len(range(i, 5000, 700)) for i in range(700)}
+    assert sorted((r.least, r.size) for r in rows) == sorted(sizes.items())
