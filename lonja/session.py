@@ -27,8 +27,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(name: str = "lonja", cores: str = "*", partitions: int = 8) -> SparkSession:
-    """Local session for tests and the benchmark."""
+def build_session(name: str = "lonja", cores: str = "*", partitions: int = 8, folder: str | None = None) -> SparkSession:
+    """Local session for tests and the benchmark; ``folder`` is its shared working folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
@@ -36,6 +36,8 @@ def build_session(name: str = "lonja", cores: str = "*", partitions: int = 8) ->
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

@@ -9,5 +9,6 @@ from lonja.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return build_session("tests", "8", 4)
+def spark(tmp_path_factory):
+    # The shared folder is set as on a cluster; pytest removes it with the runs before the last ones.
+    return build_session("tests", "8", 4, str(tmp_path_factory.mktemp("shared")))

@@ -18,7 +18,8 @@ def test_keys():
 @pytest.mark.parametrize("name", [
     "scan_catalog_csv", "scan_tariff_exceptions", "stock_page_completeness", "clean_money", "clean_ean", "clean_date",
     "select_first_valid_candidate", "dedup_order_lines", "stock_totals", "merge_products", "publish_snapshot",
-    "monthly_sales", "margin_summary", "catalog_page", "fk_check",
+    "monthly_sales", "margin_summary", "catalog_page", "fk_check", "bounded_excerpt", "source_fingerprint", "scan_orders_csv",
+    "resolve_order_header", "stock_latest_version",
 ])
 def test_equal_to_sql(spark, name):
     same, note = compare(spark, connect(FOLDER), FOLDER, name)
