@@ -212,6 +212,17 @@ class Load:
         if self.store.current_run() != self.base:
             raise RunFailed("RUN_SUPERSEDED", "etl")
 
+    def commit(self, **state) -> None:
+        """Publish: claim the base, then make the new version the current one by its row in the run log."""
+        self.require_base()
+        if not self.store.claim(self.base):
+            raise RunFailed("RUN_SUPERSEDED", "etl")
+        try:
+            self.store.record_run(**state)
+        except Exception:
+            self.store.release(self.base)
+            raise
+
     def write_ledger(self, *more: DataFrame) -> DataFrame:
         rows = reduce(DataFrame.unionByName, [*self.ledgers.values(), *more])
         return self.store.write("ledger", rows.withColumn("run_id", F.lit(self.run_id)), self.run_id)
@@ -285,9 +296,7 @@ class Load:
             F.to_json(F.struct("rows.*")).alias("counters"),
             F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"}).alias("summary"),
         ).first()
-        self.require_base()
-        # The commit: from this row on the new version is the current one.
-        store.record_run(
+        self.commit(
             run_id=run_id, started_at=started, finished_at=finished, status="completed",
             phase="publish", rules_version=RULES_VERSION, counters=texts["counters"],
             summary=texts["summary"], recorded_at=_now(), **self.hashes,
@@ -348,3 +357,5 @@ def run_load(
     except Exception:
         load.fail(started, "UNEXPECTED_ERROR", "etl", "/")
         raise
+    finally:
+        store.discard_staged()

@@ -3,10 +3,14 @@
 A load writes all its tables to folders of its own. What makes them current is one row appended to the run
 log, so readers see either the previous snapshot or the complete new one. A run that fails leaves the
 previous one in place.
+
+Before that row, a run claims its base: a file named after the snapshot it was built on, created exclusively.
+Of two loads on the same base only one can do that, whatever their timing.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +70,38 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.staged: list[str] = []
+
+    def _file(self, path: str):
+        """A path and its file system, as Spark itself reaches it."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _claim_path(self, base: str | None) -> str:
+        return f"{self.root}/claims/{base or 'none'}"
+
+    def claim(self, base: str | None) -> bool:
+        """Take the right to publish on a base; False if another run has it or had it."""
+        path, system = self._file(self._claim_path(base))
+        try:
+            system.create(path, False).close()
+        except Py4JJavaError as error:
+            if not system.exists(path):
+                raise error
+            return False
+        return True
+
+    def release(self, base: str | None) -> None:
+        """Give the base back after a run that claimed it could not commit."""
+        path, system = self._file(self._claim_path(base))
+        system.delete(path, False)
+
+    def discard_staged(self) -> None:
+        """Remove the intermediate results written through this store."""
+        for staged in self.staged:
+            path, system = self._file(staged)
+            system.delete(path, True)
+        self.staged.clear()
 
     def _read(self, path: str, table: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[table]).parquet(path)
@@ -115,6 +151,7 @@ class SnapshotStore:
     def stage(self, name: str, rows: DataFrame, run_id: str) -> DataFrame:
         """Intermediate result of a run as files: shared by later steps, safe against lost executors."""
         path = f"{self.root}/stage/{name}/version={run_id}"
+        self.staged.append(path)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
