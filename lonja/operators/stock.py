@@ -132,6 +132,22 @@ def conflict_warnings(reconciled: DataFrame) -> DataFrame:
     )
 
 
+def stock_instants(observations: DataFrame) -> DataFrame:
+    """Per SKU, warehouse and instant: smallest and largest version, and whether a bad observation is among them."""
+    version = F.struct("quantity", "reserved")
+    valid = F.when(F.col("valid"), version)
+    # Bad observations keep their SKU only.
+    place = [F.when(F.col("valid"), F.col(name)).alias(name) for name in ("warehouse", "updated_at")]
+    return observations.where(F.col("sku").isNotNull()).groupBy("sku", *place).agg(
+        F.min(valid).alias("low"), F.max(valid).alias("high"), F.max("invalidates").alias("bad"))
+
+
+def merge_instants(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The instants of both sets of observations together; overlaps do no harm."""
+    return one.unionByName(other).groupBy("sku", "warehouse", "updated_at").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("bad").alias("bad"))
+
+
 def stock_totals(observations: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Per catalogue SKU: known total with its instant, unknown, or invalid; with the warnings.
 
@@ -139,12 +155,11 @@ def stock_totals(observations: DataFrame, catalogue: DataFrame) -> DataFrame:
     one per warehouse (its newest instant) and one per SKU, each combined before its shuffle. The catalogue joins
     in as rows of the last one.
     """
-    version = F.struct("quantity", "reserved")
-    valid = F.when(F.col("valid"), version)
-    # Bad observations keep their SKU only.
-    place = [F.when(F.col("valid"), F.col(name)).alias(name) for name in ("warehouse", "updated_at")]
-    instants = observations.where(F.col("sku").isNotNull()).groupBy("sku", *place).agg(
-        F.min(valid).alias("low"), F.max(valid).alias("high"), F.max("invalidates").alias("bad"))
+    return totals_of_instants(stock_instants(observations), catalogue)
+
+
+def totals_of_instants(instants: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The same from the rows of ``stock_instants``."""
     warehouses = instants.withColumn("bad", F.col("bad") | F.coalesce(F.col("low") != F.col("high"), F.lit(False))).groupBy(
         "sku", "warehouse").agg(
         F.max_by("low.quantity", "updated_at").alias("quantity"), F.max("updated_at").alias("updated_at"), F.max("bad").alias("bad"))

@@ -24,8 +24,11 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     numbers (``1e3`` to ``1000.0``), so those of the records are made marked texts before they are parsed.
     """
     pages = spark.read.text(path, wholetext=multi_line)
-    if not multi_line:
-        pages = pages.where(F.trim("value") != "")
+    return parsed_pages(pages if multi_line else pages.where(F.trim("value") != ""))
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """``data`` and ``meta`` of page texts (``value``), whether read at once or as a stream."""
     return pages.select(
         F.from_json(_quoted_numbers(F.col("value")), "data array<string>")["data"].alias("data"),
         F.try_parse_json(F.from_json("value", "meta string")["meta"]).alias("meta"),
