@@ -388,6 +388,11 @@ ORACLE["previous_month_sales"] = sales(SHOW.format(summary=SUMMARY.format(where=
 SPINE = f"(SELECT CAST(unnest(generate_series(DATE '{samples.START}', DATE '2001-06-01', INTERVAL 1 MONTH)) AS DATE) AS month)"
 BY_MONTH = f"SELECT month, {MONEY} AS revenue, {UNITS} FROM {SPINE} LEFT JOIN eligible ON date_trunc('month', order_date) = month GROUP BY month"
 ORACLE["monthly_sales"] = sales(f"SELECT CAST(month AS VARCHAR) AS month, {real('revenue')}, units, month = DATE '2001-06-01' AS is_partial FROM ({BY_MONTH})")
+RATIO = "CAST((2 * 10000 * CAST(revenue * 100 AS HUGEINT) + CAST(before * 100 AS HUGEINT)) // (2 * CAST(before * 100 AS HUGEINT)) AS DOUBLE) / 10000"
+ORACLE["monthly_year_on_year"] = sales(f"""
+  SELECT CAST(m.month AS VARCHAR) AS month, {real('revenue')}, units, month = DATE '2001-06-01' AS is_partial, {real('before', 'revenue_year_before')},
+    units_before AS units_year_before, CASE WHEN before > 0 THEN {RATIO} END AS revenue_ratio
+  FROM ({BY_MONTH}) m LEFT JOIN (SELECT month + INTERVAL 12 MONTH AS later, revenue AS before, units AS units_before FROM ({BY_MONTH})) y ON y.later = m.month""")
 BY_CHANNEL = f"SELECT c.channel, {MONEY} AS revenue, {UNITS} FROM (VALUES ('B2B'), ('B2C'), ('marketplace')) c(channel) LEFT JOIN eligible e ON e.channel = c.channel GROUP BY c.channel"
 ORACLE["sales_by_channel"] = sales(f"SELECT channel, {real('revenue')}, units FROM ({BY_CHANNEL})")
 BY_CATEGORY = f"SELECT category_key, coalesce(max(category), 'Sin categoría') AS label, {MONEY} AS revenue, {UNITS} FROM eligible GROUP BY category_key"

@@ -1015,6 +1015,11 @@ def monthly_sales(spark, folder):
     return metrics.monthly_sales(_eligible(spark, folder), START, AS_OF)
 
 
+@query
+def monthly_year_on_year(spark, folder):
+    return metrics.year_on_year(metrics.monthly_sales(_eligible(spark, folder), START, AS_OF))
+
+
 @query
 def sales_by_channel(spark, folder):
     return metrics.sales_by_channel(_eligible(spark, folder))

@@ -63,6 +63,16 @@ def test_sales(shop):
     assert (first.label, first.revenue, first.units) == ("03/2023", "37.00", 6)
 
 
+def test_year_on_year_over_months_without_sales(spark):
+    sold = spark.createDataFrame(
+        [(date(2021, 1, 9), D("40.00"), 4), (date(2021, 3, 9), D("3.00"), 1), (date(2022, 1, 5), D("50.00"), 5), (date(2022, 2, 5), D("7.00"), 1)],
+        "order_date date, amount decimal(38,2), quantity bigint")
+    rows = metrics.year_on_year(metrics.monthly_sales(sold, date(2021, 1, 1), date(2022, 3, 31))).collect()
+    assert len(rows) == 15 and all(r.revenue_year_before is None and r.revenue_ratio is None for r in rows[:12])
+    assert [(str(r.month)[:7], r.revenue_year_before, r.units_year_before, r.revenue_ratio) for r in rows[12:]] == [
+        ("2022-01", D("40.00"), 4, D("1.2500")), ("2022-02", D("0.00"), 0, None), ("2022-03", D("3.00"), 1, D("0.0000"))]
+
+
 def test_low_stock_looks_back_whole_months(shop):
     products, eligible = shop
     low = metrics.low_stock_products(eligible, products, AS_OF).collect()
