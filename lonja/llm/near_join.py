@@ -380,7 +380,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
                          threshold: float = THRESHOLD) -> DataFrame:
-    """The document with the smallest id of each class, and every document without words, with all columns."""
+    """The document with the smallest id of each class, and every document without words, with all columns.
+
+    Null and empty texts have no words and all stay. A row without an id counts with a hash of its text as id. Of
+    rows that repeat id and text one stays, the one with the smallest hash over all columns; so with ties. An empty
+    table stays empty.
+    """
     join = NearJoin(docs, doc_id, text, words, threshold)
     labels = join.components()
     nodes = join.classes.join(labels, "node", "left").select(F.coalesce("component", "node").alias("component"), "best")

@@ -76,7 +76,10 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def known_words(docs: DataFrame, text: str = "text", share: float = KNOWN) -> DataFrame:
-    """``word``: the words of three to sixteen ASCII letters that make at least ``share`` of such words, and two."""
+    """``word``: the words of three to sixteen ASCII letters that make at least ``share`` of such words, and two.
+
+    Null and empty texts have none, rows that repeat count each time, and an empty table gives no word.
+    """
     # Letters between digits, as in hexadecimal text, are no words.
     words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^a-z0-9]++")).alias("word"))
     words = words.where(F.col("word").rlike("^[a-z]{3,16}$"))
