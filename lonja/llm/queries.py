@@ -100,6 +100,25 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE = {
+    "op1_suffix_array_dedup": """
+        WITH docs AS (SELECT row_number() OVER () AS row, doc_id, hex(coalesce(text, '')) AS bytes FROM documents),
+        starts AS (SELECT row, bytes, unnest(range(1, greatest(len(bytes) // 2 - 199, 0) + 1)) AS spot FROM docs),
+        marks AS (SELECT row, spot, md5(substr(bytes, 2 * spot - 1, 400)) AS mark FROM starts),
+        hits AS (SELECT row, spot FROM marks JOIN (SELECT mark FROM marks GROUP BY mark HAVING count(*) > 1) USING (mark)),
+        -- A start begins a span unless it touches what the one before it covers.
+        heads AS (SELECT row, spot, (spot <= coalesce(lag(spot) OVER (PARTITION BY row ORDER BY spot), -999) + 200)::INTEGER AS goes_on FROM hits),
+        numbered AS (SELECT row, spot, sum(1 - goes_on) OVER (PARTITION BY row ORDER BY spot) AS span FROM heads),
+        spans AS (SELECT row, min(spot) AS low, max(spot) + 200 AS high FROM numbered GROUP BY row, span),
+        totals AS (SELECT row, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row),
+        gaps AS (
+          SELECT row, lag(high, 1, 1) OVER (PARTITION BY row ORDER BY low) AS low, low AS high FROM spans UNION ALL
+          SELECT row, max(high), NULL FROM spans GROUP BY row),
+        kept AS (
+          SELECT row, string_agg(substr(bytes, 2 * low - 1, coalesce(2 * (high - low), len(bytes))), '' ORDER BY low) AS rest
+          FROM gaps JOIN docs USING (row) GROUP BY row)
+        SELECT doc_id, len(bytes) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(rest, bytes))) AS kept_sha256
+        FROM docs LEFT JOIN totals USING (row) LEFT JOIN kept USING (row)""",
     "op2_exact_dedup": r"""
         WITH plain AS (
           SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
