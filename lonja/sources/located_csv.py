@@ -53,6 +53,7 @@ RECORD = pa.schema(
         ("cells", pa.list_(pa.string())),
         ("problem", pa.string()),
         ("text", pa.string()),
+        ("file", pa.int32()),
     ]
 )
 
@@ -242,9 +243,9 @@ def _parse(chunk: int, separator: str, encoding: str, header: list[str]):
     def run(batches):
         for batch in batches:
             rows = []
-            for chunk_row in zip(*[column.to_pylist() for column in batch.columns]):
+            for *chunk_row, file in zip(*[column.to_pylist() for column in batch.columns]):
                 for row in _records(*chunk_row, chunk, separator, encoding, header):
-                    rows.append(row)
+                    rows.append((*row, file))
                     if len(rows) >= ROWS_PER_BATCH:
                         yield _to_batch(rows)
                         rows = []
@@ -297,27 +298,28 @@ def read_located_csv(
     )
     located = (
         _chain(probes)
-        .join(files, "path")
-        .select("path", "start", "length", "opens", "lines_before", "plain")
+        .join(numbered, "path")
+        .select("path", "start", "length", "opens", "lines_before", "plain", "file")
         .repartition(tasks, "path", "start")
     )
     records = located.mapInArrow(
         _parse(chunk, separator, encoding, header),
-        "path string, position bigint, start_line bigint, end_line bigint, cells array<string>, problem string, text string",
+        "path string, position bigint, start_line bigint, end_line bigint, cells array<string>, problem string, text string, file int",
     )
+    # Nothing is joined to the records: Spark takes them for as small as the chunks' rows, and would broadcast them.
     # The lines of a piece: the n-th one begins at least n bytes after the piece, so its position may count lines.
     records = records.select("*", F.posexplode_outer(F.split("text", "\r\n|\r|\n")).alias("_n", "_line"))
     own = F.when(F.col("_line") == "", F.array().cast("array<string>")).otherwise(F.split("_line", re.escape(separator)))
     number = F.coalesce("_n", F.lit(0))
     records = records.select(
         "path", (F.col("position") + number).alias("position"), (F.col("start_line") + number).alias("start_line"),
-        (F.col("end_line") + number).alias("end_line"), F.when(F.col("text").isNull(), F.col("cells")).otherwise(own).alias("cells"), "problem",
+        (F.col("end_line") + number).alias("end_line"), F.when(F.col("text").isNull(), F.col("cells")).otherwise(own).alias("cells"), "problem", "file",
     )
     line = F.when(
         F.col("start_line") == F.col("end_line"), F.col("start_line").cast("string")
     ).otherwise(F.concat_ws("-", "start_line", "end_line"))
     name = F.element_at(F.split("path", "/"), -1)
-    return records.join(numbered.select("path", "file"), "path").select(
+    return records.select(
         (F.col("file").cast("decimal(18,0)") * F.lit(POSITIONS) + F.col("position")).cast(ORD).alias("ord"),
         (F.concat_ws(":", name, line) if totals["files"] > 1 else line).alias("locator"),
         "start_line",

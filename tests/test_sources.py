@@ -47,6 +47,16 @@ def test_located_csv_cuts_anywhere(spark, tmp_path, chunk):
     assert [(r.locator, r.cells) for r in got] == plain(path, ";", "latin-1")
 
 
+def test_records_of_a_csv_source_are_joined_with_nothing(spark, tmp_path):
+    """Spark takes the records for as small as the rows of their chunks; in a join it would send them to the driver."""
+    for name in ("b", "a"):
+        (tmp_path / f"{name}.csv").write_text(";".join(CATALOGUE_COLUMNS) + f"\n{name};1\n")
+    got = tables.scan_catalogue(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.partition("MapInArrow")[0]
+    assert [(r.locator, r.cells) for r in got.orderBy("ord").collect()] == [("a.csv:2", ["a", "1"]), ("b.csv:2", ["b", "1"])]
+
+
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
 @pytest.mark.parametrize("chunk", [9, 64, 1 << 20])
 def test_line_ends_and_plain_chunks(spark, tmp_path, monkeypatch, end, chunk):
