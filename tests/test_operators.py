@@ -152,6 +152,17 @@ def test_orders(spark):
     assert heads == {"T-9": ("Iñaki", True), "U-3": ("Pau", False)}
 
 
+def test_order_chain_keeps_only_repeated_lines(spark):
+    """Besides the parsed rows, only short hashes and first rows of lines that occur several times are written out."""
+    kept = []
+    cells = ["2023-06-16", "Ona", "b2b", "Enviado", "CUP"]
+    rows = [(i, f"l{i}", [order, *cells, count, "7,5", "0"]) for i, (order, count) in enumerate([("a", "1"), ("a", "2"), ("b", "1"), ("A", "1,0")])]
+    frame = spark.createDataFrame(rows, "ord bigint, locator string, cells array<string>")
+    found = orders.select_orders(frame, keep=lambda rows: kept.append(rows) or rows).orderBy("ord").collect()
+    assert [r.outcome for r in found] == ["accepted", "accepted", "accepted", "deduplicated"] and len({r.line_key for r in found}) == 3
+    assert [frame.count() for frame in kept[1:]] == [1, 1] and dict(kept[0].dtypes)["line_key"] == "binary"
+
+
 def test_stock(spark):
     early, late = "2023-05-05T05:00:00+02:00", "2023-05-05T04:00:00Z"
     rows = [("CUP", "N", "7", "9", early), ("cup", "S", "1,0", "0", late), ("JAR", "N", "4", "0", early), ("JAR", "N", "6", "0", late), ("JAR", "N", "6", "0", late),
