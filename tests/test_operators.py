@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lonja.operators import browse, catalogue, integrity, issues, merge, metrics, orders, pricing, reporting, stock, tariffs
 from lonja.operators.grouping import attach_group
+from lonja.session import materialized
 from lonja.vocabulary import CATALOGUE_COLUMNS, STOCK_FIELDS
 
 #: A tea shop, open since March 2023; seen at the end of a month that is longer than the one three months before.
@@ -158,7 +159,7 @@ def test_order_chain_keeps_only_repeated_lines(spark):
     cells = ["2023-06-16", "Ona", "b2b", "Enviado", "CUP"]
     rows = [(i, f"l{i}", [order, *cells, count, "7,5", "0"]) for i, (order, count) in enumerate([("a", "1"), ("a", "2"), ("b", "1"), ("A", "1,0")])]
     frame = spark.createDataFrame(rows, "ord bigint, locator string, cells array<string>")
-    found = orders.select_orders(frame, keep=lambda rows: kept.append(rows) or rows).orderBy("ord").collect()
+    found = orders.select_orders(frame, keep=lambda rows: kept.append(materialized(rows)) or kept[-1]).orderBy("ord").collect()
     assert [r.outcome for r in found] == ["accepted", "accepted", "accepted", "deduplicated"] and len({r.line_key for r in found}) == 3
     assert [frame.count() for frame in kept[1:]] == [1, 1] and dict(kept[0].dtypes)["line_key"] == "binary"
 
