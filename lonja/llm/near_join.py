@@ -39,6 +39,8 @@ FEW = 12
 SPLIT = 8192
 #: Classes in one block of an exact comparison.
 BLOCK = 512
+#: Bytes of plain text that are hashed at once; hashing takes some fifty times as much memory.
+SLICE = 256 << 10
 
 
 def banding(threshold: float, recall: float, most_hashes: int) -> tuple[int, int]:
@@ -77,7 +79,7 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
         hasher = Hasher()
         for batch in batches:
             _, places = byte_column(batch.column(3))
-            for start, stop in rows_by_bytes(batch, np.diff(places), 1 << 20):
+            for start, stop in rows_by_bytes(batch, np.diff(places), SLICE):
                 part = batch.slice(start, stop - start)
                 data, at = byte_column(lowered(part.column(3)))
                 hashes, word_at = hasher.words(data, at)
@@ -127,11 +129,11 @@ def _similarities(pairs: DataFrame, words: int, least: float) -> DataFrame:
         import zstandard
 
         np.seterr(over="ignore")
-        open_frame, hasher = zstandard.ZstdDecompressor().decompress, Hasher()
+        open_frame, size, hasher = zstandard.ZstdDecompressor().decompress, zstandard.frame_content_size, Hasher()
         for batch in batches:
-            sizes = np.array([len(x) + len(y) for x, y in zip(
+            sizes = np.array([size(x) + size(y) for x, y in zip(
                 batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)] or [0])
-            for start, stop in rows_by_bytes(batch, sizes, 1 << 20):
+            for start, stop in rows_by_bytes(batch, sizes, SLICE):
                 part = batch.slice(start, stop - start)
                 texts = [open_frame(x).decode() for c in (2, 3) for x in part.column(c).to_pylist()]
                 data, at = byte_column(lowered(pa.array(texts, pa.string())))
@@ -155,13 +157,17 @@ def _compared(words: int, least: float):
     import zstandard
 
     np.seterr(over="ignore")
-    open_frame, hasher = zstandard.ZstdDecompressor().decompress, Hasher()
+    open_frame, size, hasher = zstandard.ZstdDecompressor().decompress, zstandard.frame_content_size, Hasher()
 
     def sets(block):
-        texts = [open_frame(row["frame"]).decode() for row in block]
-        data, at = byte_column(lowered(pa.array(texts, pa.string())))
-        values, owner, ends = unique_in_rows(*shingles(*hasher.words(data, at), words))
-        return values, owner, np.diff(ends)
+        frames = pa.RecordBatch.from_arrays([pa.array([row["frame"] for row in block], pa.binary())], ["frame"])
+        found = []
+        for start, stop in rows_by_bytes(frames, np.array([size(row["frame"]) for row in block]), SLICE):
+            texts = [open_frame(row["frame"]).decode() for row in block[start:stop]]
+            data, at = byte_column(lowered(pa.array(texts, pa.string())))
+            values, owner, ends = unique_in_rows(*shingles(*hasher.words(data, at), words))
+            found.append((values, owner + start, np.diff(ends)))
+        return tuple(np.concatenate(part) for part in zip(*found, strict=True))
 
     def columns(values, owner, both):
         """Rows and columns of the n-grams that are in ``both``, by column."""

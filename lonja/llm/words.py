@@ -86,7 +86,9 @@ class Hasher:
         last[touch - 1] |= inside[1:-1][touch - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         total = np.zeros(n + 1, U64)
-        np.cumsum(_VALUES[data] * self.up[:n], out=total[1:])
+        weighted = _VALUES[data]
+        weighted *= self.up[:n]
+        np.cumsum(weighted, out=total[1:])
         hashes = mix((total[ends] - total[starts]) * self.down[starts])
         return hashes, np.searchsorted(starts, offsets)
 
