@@ -6,6 +6,7 @@ import pytest
 
 from lonja.operators import orders
 from lonja.plans import queries, samples
+from lonja.session import materialized
 
 TABLES = {
     "lineitem": ([(97, 1, 1, 1, 2.0, 0.1), (None, 1, 1, 1, 2.0, 0.1), (98, 1, 1, 4, 3.0, 0.1), (99, None, 1, 4, 3.0, 0.1)],
@@ -64,8 +65,9 @@ def test_lines_without_signatures_meet_the_same_first_row(spark):
     frame = spark.createDataFrame([(i, f"l{i}", row) for i, row in enumerate(kinds)], "ord bigint, locator string, cells array<string>")
 
     def found(drop):
-        rows = orders.select_orders(frame, keep=lambda rows: rows.drop(*drop)).orderBy("ord")
+        rows = orders.select_orders(frame, keep=lambda rows: materialized(rows.drop(*drop))).orderBy("ord")
         return [(r.outcome, r.line_key, [i.detail for i in r.issues]) for r in rows.collect()]
 
-    assert found(["line_key"]) == found([])
-    assert [row[0] for row in found(["line_key"])] == ["accepted", "deduplicated", "rejected", "rejected", "accepted", "rejected", "rejected"]
+    again = found(["line_key"])
+    assert again == found([])
+    assert [row[0] for row in again] == ["accepted", "deduplicated", "rejected", "rejected", "accepted", "rejected", "rejected"]
