@@ -27,6 +27,8 @@ FEATURES = 24_000_000
 #: Longest n-gram of token shapes, and the shares of a text's tokens that make features of their own.
 SHAPE_GRAM = 4
 SHARES = (0.0, 0.05, 0.2)
+#: Bytes of text whose features are taken at once; that takes some fifty times as much memory.
+SLICE = 256 << 10
 ROUNDS = 12
 COST = 1.0
 #: Added to each count before the ratio is taken.
@@ -100,7 +102,7 @@ def _counts(labelled: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         hasher, sums = Hasher(), np.zeros((2, (1 << bits) + 1), np.int64)
         for batch in batches:
             _, places = byte_column(batch.column(0))
-            for start, stop in rows_by_bytes(batch, np.diff(places), 1 << 20):
+            for start, stop in rows_by_bytes(batch, np.diff(places), SLICE):
                 part = batch.slice(start, stop - start)
                 label = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
                 feature, row, _ = features(part.column(0), hasher, bits)
@@ -126,7 +128,7 @@ def _sample_features(sample: DataFrame, bits: int, most: int) -> list[tuple[int,
         hasher = Hasher()
         for batch in batches:
             _, places = byte_column(batch.column(0))
-            for start, stop in rows_by_bytes(batch, np.diff(places), 1 << 20):
+            for start, stop in rows_by_bytes(batch, np.diff(places), SLICE):
                 part = batch.slice(start, stop - start)
                 feature, _, at = features(part.column(0), hasher, bits)
                 lists = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -250,7 +252,7 @@ def score(docs: DataFrame, model: Fitted, text: str = "text", output: str = "sco
             _, at = byte_column(column)
             values = [
                 fitted.scores(column.slice(start, stop - start), hasher)
-                for start, stop in rows_by_bytes(batch, np.diff(at), 1 << 20)
+                for start, stop in rows_by_bytes(batch, np.diff(at), SLICE)
             ]
             found = np.concatenate(values) if values else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names)

@@ -18,11 +18,15 @@ import pyarrow.compute as pc
 
 from lonja.llm.rows import byte_column, rows_by_bytes
 
-#: Bytes of text whose distinct pieces are encoded together.
-BATCH_BYTES = 8 << 20
+#: Bytes of text whose distinct pieces are encoded together. Workers, idle ones too, keep much of the memory they once took.
+BATCH_BYTES = 1 << 20
 #: Most pieces whose ids a worker process keeps from batch to batch, and the longest of them.
-KEPT = 1_000_000
+KEPT = 100_000
 KEPT_LENGTH = 64
+#: Strings that the tokenizer encodes at once: its results take some 180 bytes a token until they are read.
+STRINGS = 32
+#: Bytes of whole texts that it encodes at once.
+WHOLE_BYTES = 256 << 10
 _WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: A space at either end of the text or beside other white space.
 _UNEVEN = rf"^ | $| {_WHITE}|{_WHITE} "
@@ -97,17 +101,24 @@ class Encoder:
         cuts = pa.array(np.append(np.arange(0, n, 256), n), pa.int32())
         strings = pc.binary_join(pa.ListArray.from_arrays(cuts, pieces), " ").to_pylist()
         flats, lengths = [], []
-        for at in range(0, len(strings), 256):
-            flat, _ = self.each([" " + x for x in strings[at : at + 256]])
+        for at in range(0, len(strings), STRINGS):
+            flat, _ = self.each([" " + x for x in strings[at : at + STRINGS]])
             heads = np.flatnonzero(self.head[flat])
-            if len(heads) != min(256 * 256, n - 256 * at):
+            if len(heads) != min(256 * STRINGS, n - 256 * at):
                 raise AssertionError("a piece does not begin at a space")
             flats.append(flat)
             lengths.append(np.diff(np.append(heads, len(flat))).astype(np.int32))
         return np.concatenate(flats), np.concatenate(lengths)
 
-    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and lengths of distinct pieces, known ones by lookup."""
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``each`` for any number of texts, some at once."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        rows = pa.RecordBatch.from_arrays([texts], ["text"])
+        found = [self.each(texts.slice(a, b - a).to_pylist()) for a, b in rows_by_bytes(rows, sizes, WHOLE_BYTES)] or [self.each([])]
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([lengths for _, lengths in found])
+
+    def _pieces(self, pieces: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of distinct pieces, known ones by lookup; those that occur more than once are kept."""
         place = pc.index_in(pieces, value_set=self.known)
         new = place.is_null().to_numpy(zero_copy_only=False)
         ids, lengths = self.spaced(pieces.filter(pa.array(new)))
@@ -123,6 +134,7 @@ class Encoder:
         if room > 0 and len(lengths):
             fresh = pieces.filter(pa.array(new))
             keep = pc.less_equal(pc.binary_length(fresh), KEPT_LENGTH).to_numpy(zero_copy_only=False)
+            keep = keep & (times[new] > 1)
             keep &= np.cumsum(keep) <= room
             self.known = pa.concat_arrays([self.known, fresh.filter(pa.array(keep))])
             first = np.cumsum(lengths) - lengths
@@ -137,14 +149,14 @@ class Encoder:
         for token in self.added:
             apart = apart | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         odd, even = np.flatnonzero(apart), np.flatnonzero(~apart)
-        odd_ids, odd_lengths = self.each(texts.take(pa.array(odd)).to_pylist())
+        odd_ids, odd_lengths = self.whole(texts.take(pa.array(odd)))
         lists = pc.split_pattern(texts.take(pa.array(even)) if len(odd) else texts, " ")
         offsets = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
         index = coded.indices.to_numpy(zero_copy_only=False).copy()
         offsets = offsets - (offsets[0] if len(offsets) else 0)
-        ids, lengths = self._pieces(coded.dictionary)
+        ids, lengths = self._pieces(coded.dictionary, np.bincount(index, minlength=len(coded.dictionary)))
         # The first piece of a text has no space before it: such pieces follow as more entries.
         firsts = offsets[:-1]
         unique, place = np.unique(index[firsts], return_inverse=True) if len(firsts) else (firsts, firsts)
