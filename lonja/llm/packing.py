@@ -24,6 +24,10 @@ from lonja.session import materialized
 
 END = 0
 GROUP_TOKENS = 8 << 20
+#: Bytes of text encoded together, and most pieces whose ids a worker keeps. Idle workers keep much of the memory they
+#: once took, and an executor may have several of them for each core.
+BATCH_BYTES = 1 << 20
+KEPT = 100_000
 
 
 @dataclass(frozen=True)
@@ -86,8 +90,8 @@ def pieces(docs: DataFrame, doc_id: str, text: str, tokens: int, vocabulary: str
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(vocabulary)
-        for batch in gathered(batches, 1):
+        encoder = shared_encoder(vocabulary, KEPT, 2)
+        for batch in gathered(batches, 1, BATCH_BYTES):
             ids, at = encoder.encode(batch.column(1).fill_null(""))
             ids = ids.astype("<u4")
             sizes = np.diff(at) + 1

@@ -18,10 +18,10 @@ import pyarrow.compute as pc
 
 from lonja.llm.rows import byte_column, rows_by_bytes
 
-#: Bytes of text whose distinct pieces are encoded together. Workers, idle ones too, keep much of the memory they once took.
-BATCH_BYTES = 1 << 20
+#: Bytes of text whose distinct pieces are encoded together.
+BATCH_BYTES = 8 << 20
 #: Most pieces whose ids a worker process keeps from batch to batch, and the longest of them.
-KEPT = 100_000
+KEPT = 1_000_000
 KEPT_LENGTH = 64
 #: Strings that the tokenizer encodes at once: its results take some 180 bytes a token until they are read.
 STRINGS = 32
@@ -56,12 +56,12 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_lonja_worker_cache", ModuleType("_lonja_worker_cache")).__dict__
 
 
-def shared_encoder(vocabulary: str) -> "Encoder":
+def shared_encoder(vocabulary: str, kept: int = KEPT, least: int = 1) -> "Encoder":
     """The worker process's encoder: what it learned about pieces in one task serves the next."""
     cache = worker_cache()
-    if ("encoder", vocabulary) not in cache:
-        cache["encoder", vocabulary] = Encoder(vocabulary)
-    return cache["encoder", vocabulary]
+    if ("encoder", vocabulary, kept, least) not in cache:
+        cache["encoder", vocabulary, kept, least] = Encoder(vocabulary, kept, least)
+    return cache["encoder", vocabulary, kept, least]
 
 
 def uneven(texts: pa.Array) -> np.ndarray:
@@ -70,13 +70,15 @@ def uneven(texts: pa.Array) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, vocabulary: str):
+    """Keeps the ids of up to ``kept`` pieces that occur ``least`` times in one batch."""
+
+    def __init__(self, vocabulary: str, kept: int = KEPT, least: int = 1):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(vocabulary)
+        self.model, self.kept, self.least = Tokenizer.from_file(vocabulary), kept, least
         self.added = [token.content for token in self.model.get_added_tokens_decoder().values()]
         words = self.model.get_vocab(with_added_tokens=True)
         self.head = np.zeros(max(words.values()) + 1, bool)
@@ -118,7 +120,7 @@ class Encoder:
         return np.concatenate([ids for ids, _ in found]), np.concatenate([lengths for _, lengths in found])
 
     def _pieces(self, pieces: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and lengths of distinct pieces, known ones by lookup; those that occur more than once are kept."""
+        """Ids and lengths of distinct pieces that occur so many times, known ones by lookup."""
         place = pc.index_in(pieces, value_set=self.known)
         new = place.is_null().to_numpy(zero_copy_only=False)
         ids, lengths = self.spaced(pieces.filter(pa.array(new)))
@@ -130,11 +132,11 @@ class Encoder:
         all_ids = np.concatenate([self.known_ids, ids])
         starts = np.cumsum(all_lengths, dtype=np.int64) - all_lengths
         result = ragged(all_ids, starts[where], all_lengths[where]), all_lengths[where]
-        room = KEPT - before
+        room = self.kept - before
         if room > 0 and len(lengths):
             fresh = pieces.filter(pa.array(new))
             keep = pc.less_equal(pc.binary_length(fresh), KEPT_LENGTH).to_numpy(zero_copy_only=False)
-            keep = keep & (times[new] > 1)
+            keep = keep & (times[new] >= self.least)
             keep &= np.cumsum(keep) <= room
             self.known = pa.concat_arrays([self.known, fresh.filter(pa.array(keep))])
             first = np.cumsum(lengths) - lengths

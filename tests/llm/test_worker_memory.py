@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lonja.llm import quality, tokens
+from lonja.llm import packing, quality, tokens
 
 ODD = [" ".join(f"odd{i}  {k}" for k in range(300)) for i in range(400)] + ["", " ", "x " * 200_000]
 EVEN = [" ".join(f"w{i}q{k}" for k in range(200)) for i in range(400)]
@@ -38,21 +38,45 @@ def test_distinct_pieces_are_encoded_in_portions(encoded):
     assert sum(encoded) >= 600_000 and max(encoded) <= 256 << 10
 
 
-def test_only_repeated_pieces_are_kept():
-    encoder = tokens.Encoder(tokens.default_vocabulary())
-    text = " ".join(["first", *(f"once{i}" for i in range(3000)), *(f"twice{i % 1500}" for i in range(3000))])
-    first = encoder.encode(pa.array([text]))
-    assert sorted(encoder.known.to_pylist()) == sorted(f"twice{i}" for i in range(1500))
-    again = encoder.encode(pa.array([text]))
-    plain = encoder.model.encode(text, add_special_tokens=False).ids
-    assert first[0].tolist() == again[0].tolist() == plain
+class Docs:
+    columns, schema = ["text"], []
+
+    class sparkSession:
+        class conf:
+            set = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            @staticmethod
+            def broadcast(value):
+                return type("Shared", (), {"value": value})
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
 
+def test_packing_encodes_little_and_keeps_repeated_pieces(spark, monkeypatch):
+    tokens.worker_cache().clear()
+    sizes, encode = [], tokens.Encoder.encode
 
-def test_batches_are_gathered_below_two_megabytes():
-    batches = [pa.RecordBatch.from_arrays([pa.array(range(64)), pa.array(["y" * 50_000] * 64)], ["doc_id", "text"])] * 2
-    found = list(tokens.gathered(iter(batches), 1))
-    assert sum(batch.num_rows for batch in found) == 128
-    assert max(batch.column(1).nbytes for batch in found) <= 2 << 20
+    def recorded(self, texts):
+        sizes.append(texts.nbytes)
+        return encode(self, texts)
+
+    monkeypatch.setattr(tokens.Encoder, "encode", recorded)
+    text = " ".join(["first", *(f"once{i}" for i in range(3000)), *(f"twice{i % 1500}" for i in range(3000))])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(65)), pa.array([text] + ["y" * 50_000] * 64)], ["doc_id", "text"])
+    run = packing.pieces(Docs(), "doc_id", "text", 2048, tokens.default_vocabulary())
+    found = pa.Table.from_batches(run(iter([batch, batch])))
+    assert max(sizes) <= 2 << 20 and sum(sizes) >= 6_400_000
+    encoder, = (x for x in tokens.worker_cache().values() if isinstance(x, tokens.Encoder))
+    assert sorted(encoder.known.to_pylist()) == sorted(f"twice{i}" for i in range(1500)) and encoder.kept <= 100_000
+    plain = encoder.model.encode(text, add_special_tokens=False).ids
+    lengths = [row["length"] for row in found.to_pylist() if row["doc_id"] == 0]
+    assert sum(lengths) == 2 * (len(plain) + 1)
+    tokens.worker_cache().clear()
 
 
 def test_quality_takes_features_in_slices(monkeypatch):
@@ -62,21 +86,6 @@ def test_quality_takes_features_in_slices(monkeypatch):
         sizes.append(sum(len(text.as_py()) for text in column))
         return features(column, hasher, bits)
 
-    class Docs:
-        columns, schema = ["text"], []
-
-        class sparkSession:
-            class conf:
-                set = staticmethod(lambda *_: None)
-
-            class sparkContext:
-                @staticmethod
-                def broadcast(value):
-                    return type("Shared", (), {"value": value})
-
-        def mapInArrow(self, run, _):
-            return run
-
     weights = np.random.default_rng(1).normal(size=1 << 18)
     model = quality.Fitted(weights, weights[::-1].copy(), 0.1, 1.0, 0.0, 18)
     column = pa.array(EVEN * 3 + [None])
